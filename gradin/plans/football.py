@@ -14,12 +14,14 @@ from gradin.spec import Field, ForeignKey, SilverTable, StarTable
 
 # ---- landing -------------------------------------------------------------------------
 
+# Files or folders of files. The wildcard takes a match table as a file of that name or as
+# the folder that routing matches by status makes; standings are all files of all groups.
 LANDING_FILES = {
     "equipes": "equipes.csv",
     "joueurs": "joueurs.csv",
     "buteurs": "buteurs.csv",
-    "matchs_joues": "matchs/matchs_joues.csv",
-    "matchs_non_joues": "matchs/matchs_non_joues.csv",
+    "matchs_joues": "matchs/*matchs_joues*",
+    "matchs_non_joues": "matchs/*matchs_non_joues*",
     "classement_group_stage": "classements",
 }
 

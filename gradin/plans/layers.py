@@ -7,24 +7,46 @@ costs at most the tasks it was running, and a rerun repeats no earlier layer's w
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gradin.functions.scores import group_slug, is_played
 from gradin.operators import flatten
 from gradin.operators.quality import constraint_report, require_clean
 from gradin.operators.repair import conform
-from gradin.operators.rows import split_by_status
-from gradin.functions.scores import group_slug
 from gradin.plans.football import LANDING_COLUMNS, LANDING_FILES, SILVER, STAR
 from gradin.plans.silver import build_silver
 from gradin.plans.star import build_star
 from gradin.sources import documents, landing, snapshot
 from gradin.sources.lineage import new_batch_id, with_lineage
-from pyspark.sql import functions as F
 
 
 def landing_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{LANDING_FILES[table]}"
 
 
+def land_matches(matches: DataFrame, landed: str) -> None:
+    """Route matches to the two landing tables by status, reading them once."""
+    name = F.when(is_played(F.col("statut")), "matchs_joues").otherwise("matchs_non_joues")
+    landing.write_csv_per_group(
+        matches.withColumn("table", name),
+        f"{landed.rstrip('/')}/matchs",
+        LANDING_COLUMNS["matchs_joues"],
+        group="table",
+        gather=False,
+    )
+
+
+def land_standings(standings: DataFrame, landed: str) -> None:
+    """One folder per group, all of them part of one landing table."""
+    table = "classement_group_stage"
+    landing.write_csv_per_group(
+        standings.withColumn("groupe_slug", group_slug(F.col("groupe_brut"))),
+        landing_path(landed, table),
+        LANDING_COLUMNS[table],
+        group="groupe_slug",
+    )
+
+
 def extract(docs: dict[str, DataFrame], landed: str) -> None:
     """Flatten documents into landing files.
 
@@ -42,17 +64,8 @@ def extract(docs: dict[str, DataFrame], landed: str) -> None:
     )
     write(flatten.flatten_squads(docs["squads"], teams), "joueurs")
     write(flatten.flatten_scorers(docs["scorers"]), "buteurs")
-    played, upcoming = split_by_status(flatten.flatten_matches(docs["matches"]))
-    write(played, "matchs_joues")
-    write(upcoming, "matchs_non_joues")
-    table = "classement_group_stage"
-    standings = flatten.flatten_standings(docs["standings"])
-    landing.write_csv_per_group(
-        standings.withColumn("groupe_slug", group_slug(F.col("groupe_brut"))),
-        landing_path(landed, table),
-        LANDING_COLUMNS[table],
-        group="groupe_slug",
-    )
+    land_matches(flatten.flatten_matches(docs["matches"]), landed)
+    land_standings(flatten.flatten_standings(docs["standings"]), landed)
 
 
 def read_source_documents(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -75,9 +88,10 @@ def ingest_bronze(
 ) -> DataFrame:
     """Land one table's files as Parquet with lineage, all columns text."""
     path = landing_path(landed, table)
-    raw = landing.read_raw_csv(spark, path, LANDING_COLUMNS[table])
-    file_name = f"{table}.csv"
-    bronze = with_lineage(raw, batch_id, file_name)
+    columns = LANDING_COLUMNS[table]
+    # A folder per group would add the folder as a column.
+    raw = landing.read_raw_csv(spark, path, columns).select(*columns)
+    bronze = with_lineage(raw, batch_id, source_file=f"{table}.csv")
     snapshot.write_snapshot(bronze, snapshot.layer_path(out, "bronze", table))
     return snapshot.read_layer(spark, out, "bronze", table)
 

@@ -6,10 +6,16 @@ from pyspark.sql import functions as F
 
 from gradin.operators.rows import split_by_status
 from gradin.plans.football import LANDING_COLUMNS
-from gradin.plans.layers import ingest_bronze, landing_path, run_layers
+from gradin.plans.layers import (
+    ingest_bronze,
+    land_matches,
+    land_standings,
+    landing_path,
+    run_layers,
+)
 from gradin.queries.raw import RAW, raw_sql, raw_table
 from gradin.queries.registry import register, table
-from gradin.queries.tables import STAR_SQL, raw_tables
+from gradin.queries.tables import STAR_SQL
 from gradin.session import scratch_path
 from gradin.sources import landing, snapshot
 from gradin.sources.lineage import with_lineage
@@ -121,12 +127,12 @@ def load_report(spark, sf):
 
 
 def _land_all(spark, sf, root: str) -> None:
-    for name, df in raw_tables(spark, sf).items():
+    for name in ("equipes", "joueurs", "buteurs"):
         columns = LANDING_COLUMNS[name]
-        if name == "classement_group_stage":
-            landing.write_csv_per_group(df, landing_path(root, name), columns, "groupe")
-        else:
-            landing.write_csv(df, landing_path(root, name), columns)
+        landing.write_csv(raw_table(spark, sf, name), landing_path(root, name), columns)
+    land_matches(raw_table(spark, sf, "matchs"), root)
+    standings = raw_table(spark, sf, "classement_group_stage")
+    land_standings(standings.withColumn("groupe_brut", F.col("groupe")), root)
 
 
 @register(

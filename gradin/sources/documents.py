@@ -42,5 +42,9 @@ def read_documents(spark: SparkSession, paths: str | list[str], schema: str) ->
 
 
 def parse_documents(df: DataFrame, text: Column, schema: str) -> DataFrame:
-    """Documents from a text column."""
-    return df.select(F.from_json(text, schema).alias("doc")).select("doc.*")
+    """Documents from a text column, each parsed once.
+
+    inline over a one-element array keeps later filters above the parse. Below a plain
+    projection they would be pushed beneath it and parse every text again.
+    """
+    return df.select(F.inline(F.array(F.from_json(text, schema))))
