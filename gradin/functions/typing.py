@@ -13,17 +13,15 @@ MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
 # What a number may be wrapped in (blanks and control characters), its sign and digits,
 # and a fraction, which counts for nothing.
 _PAD = r"[\x00-\x20\x7F]*"
-_NUMBER = rf"^{_PAD}([+-]?\d*)(?:\.\d*)?{_PAD}$"
+_NUMBER = rf"^{_PAD}([+-]?\d+)(?:\.\d*)?{_PAD}$"
 _FRACTION = rf"^{_PAD}[+-]?\.\d*{_PAD}$"
 
 
 def _to_integral(col: Column, type_name: str) -> Column:
     # "2.9" counts as 2 and ".5" as 0, as in a non-ANSI cast. Only what looks like a number
-    # is cast: try_cast on a malformed text throws and catches, ten times the cost of a match.
-    digits = F.regexp_extract(col, _NUMBER, 1)
-    return F.when(~digits.isin("", "+", "-"), digits.try_cast(type_name)).when(
-        col.rlike(_FRACTION), F.lit(0).cast(type_name)
-    )
+    # is cast: try_cast throws and catches on a malformed text, ten times the cost of a match.
+    digits = F.nullif(F.regexp_extract(col, _NUMBER, 1), F.lit(""))
+    return F.coalesce(digits, F.when(col.rlike(_FRACTION), F.lit("0"))).try_cast(type_name)
 
 
 def to_int(col: Column) -> Column:

@@ -6,6 +6,11 @@ costs at most the tasks it was running, and a rerun repeats no earlier layer's w
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +19,21 @@ from gradin.operators import flatten
 from gradin.operators.quality import constraint_report, require_clean
 from gradin.operators.repair import conform
 from gradin.plans.football import LANDING_COLUMNS, LANDING_FILES, SILVER, STAR
-from gradin.plans.silver import build_silver
+from gradin.plans.silver import build_all_silver
 from gradin.plans.star import build_star
 from gradin.sources import documents, landing, snapshot
 from gradin.sources.lineage import new_batch_id, with_lineage
 
 
+def together(spark: SparkSession, steps: Iterable[Callable[[], None]]) -> None:
+    """Submit independent writes at once, so a small table does not leave executors idle,
+    and wait for all of them. The first failure is raised."""
+    steps = list(steps)
+    run = inheritable_thread_target(spark)(lambda step: step())
+    with ThreadPoolExecutor(len(steps)) as pool:
+        list(pool.map(run, steps))
+
+
 def landing_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{LANDING_FILES[table]}"
 
@@ -62,10 +76,13 @@ def extract(docs: dict[str, DataFrame], landed: str) -> None:
     teams = landing.read_raw_csv(
         spark, landing_path(landed, "equipes"), LANDING_COLUMNS["equipes"]
     )
-    write(flatten.flatten_squads(docs["squads"], teams), "joueurs")
-    write(flatten.flatten_scorers(docs["scorers"]), "buteurs")
-    land_matches(flatten.flatten_matches(docs["matches"]), landed)
-    land_standings(flatten.flatten_standings(docs["standings"]), landed)
+    steps = (
+        lambda: write(flatten.flatten_squads(docs["squads"], teams), "joueurs"),
+        lambda: write(flatten.flatten_scorers(docs["scorers"]), "buteurs"),
+        lambda: land_matches(flatten.flatten_matches(docs["matches"]), landed),
+        lambda: land_standings(flatten.flatten_standings(docs["standings"]), landed),
+    )
+    together(spark, steps)
 
 
 def read_source_documents(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -83,28 +100,33 @@ def read_source_documents(spark: SparkSession, root: str) -> dict[str, DataFrame
     }
 
 
-def ingest_bronze(
-    spark: SparkSession, landed: str, out: str, table: str, batch_id: str
-) -> DataFrame:
-    """Land one table's files as Parquet with lineage, all columns text."""
-    path = landing_path(landed, table)
+def raw_with_lineage(spark: SparkSession, landed: str, table: str, batch_id: str) -> DataFrame:
+    """One landing table, all columns text, with lineage."""
     columns = LANDING_COLUMNS[table]
-    # A folder per group would add the folder as a column.
-    raw = landing.read_raw_csv(spark, path, columns).select(*columns)
-    bronze = with_lineage(raw, batch_id, source_file=f"{table}.csv")
-    snapshot.write_snapshot(bronze, snapshot.layer_path(out, "bronze", table))
-    return snapshot.read_layer(spark, out, "bronze", table)
+    # Files in a folder per group would bring the folder along as a column.
+    raw = landing.read_raw_csv(spark, landing_path(landed, table), columns).select(*columns)
+    return with_lineage(raw, batch_id, source_file=f"{table}.csv")
 
 
 def write_layer(
     spark: SparkSession, out: str, layer: str, tables: dict[str, DataFrame]
 ) -> dict[str, DataFrame]:
     """Write the tables and give back what was written."""
-    for name, df in tables.items():
-        snapshot.write_snapshot(df, snapshot.layer_path(out, layer, name))
+    paths = {name: snapshot.layer_path(out, layer, name) for name in tables}
+    together(
+        spark, [partial(snapshot.write_snapshot, tables[n], path) for n, path in paths.items()]
+    )
     return {name: snapshot.read_layer(spark, out, layer, name) for name in tables}
 
 
+def ingest_bronze(
+    spark: SparkSession, landed: str, out: str, batch_id: str, tables: Iterable[str] = SILVER
+) -> dict[str, DataFrame]:
+    """Land files as Parquet."""
+    raw = {t: raw_with_lineage(spark, landed, t, batch_id) for t in tables}
+    return write_layer(spark, out, "bronze", raw)
+
+
 def run_layers(
     spark: SparkSession,
     landed: str,
@@ -116,11 +138,8 @@ def run_layers(
 
     With `strict` a broken constraint stops the run before any star table is replaced.
     """
-    batch = batch_id or new_batch_id()
-    bronze = {t: ingest_bronze(spark, landed, out, t, batch) for t in SILVER}
-    silver = write_layer(
-        spark, out, "silver", {n: build_silver(t, bronze[n]) for n, t in SILVER.items()}
-    )
+    bronze = ingest_bronze(spark, landed, out, batch_id or new_batch_id())
+    silver = write_layer(spark, out, "silver", build_all_silver(bronze))
     star = build_star(silver)
     if strict:
         require_clean(constraint_report(STAR.values(), star))

@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gradin.operators import flatten
+from gradin.queries.raw import spread
 from gradin.queries.registry import register, table
 from gradin.sources import documents
 
 
 def _documents(spark, sf, source: str, expression: str, schema: str):
     """JSON texts from an expression over a table's rows, parsed by the given schema."""
-    texts = table(spark, sf, source).selectExpr(f"to_json({expression}) AS json")
+    texts = spread(table(spark, sf, source)).selectExpr(f"to_json({expression}) AS json")
     return documents.parse_documents(texts, F.col("json"), schema)
 
 

@@ -12,6 +12,7 @@ from gradin.plans.layers import (
     land_standings,
     landing_path,
     run_layers,
+    together,
 )
 from gradin.queries.raw import RAW, raw_sql, raw_table
 from gradin.queries.registry import register, table
@@ -127,12 +128,19 @@ def load_report(spark, sf):
 
 
 def _land_all(spark, sf, root: str) -> None:
-    for name in ("equipes", "joueurs", "buteurs"):
-        columns = LANDING_COLUMNS[name]
-        landing.write_csv(raw_table(spark, sf, name), landing_path(root, name), columns)
-    land_matches(raw_table(spark, sf, "matchs"), root)
+    def write(name: str) -> None:
+        df = raw_table(spark, sf, name)
+        landing.write_csv(df, landing_path(root, name), LANDING_COLUMNS[name])
+
     standings = raw_table(spark, sf, "classement_group_stage")
-    land_standings(standings.withColumn("groupe_brut", F.col("groupe")), root)
+    steps = (
+        lambda: write("equipes"),
+        lambda: write("joueurs"),
+        lambda: write("buteurs"),
+        lambda: land_matches(raw_table(spark, sf, "matchs"), root),
+        lambda: land_standings(standings.withColumn("groupe_brut", F.col("groupe")), root),
+    )
+    together(spark, steps)
 
 
 @register(
@@ -143,8 +151,8 @@ def bronze_ingest(spark, sf):
     landed, out = scratch_path(spark, "landing"), scratch_path(spark, "layers")
     columns = LANDING_COLUMNS["joueurs"]
     landing.write_csv(raw_table(spark, sf, "joueurs"), landing_path(landed, "joueurs"), columns)
-    df = ingest_bronze(spark, landed, out, "joueurs", "batch-1")
-    return df.select(*columns, "_source_file", "_batch_id")
+    bronze = ingest_bronze(spark, landed, out, "batch-1", ["joueurs"])
+    return bronze["joueurs"].select(*columns, "_source_file", "_batch_id")
 
 
 @register(

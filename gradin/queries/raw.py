@@ -128,9 +128,16 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Over all cores if the scan has fewer tasks than that: the small given tables are one
+    row group each. A large table has more and is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns = RAW[name]
-    return table(spark, sf_dir, source).selectExpr(
+    return spread(table(spark, sf_dir, source)).selectExpr(
         *[f"{value} AS {column}" for column, value in columns.items()]
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gradin.operators.rows import split_by_status
 from gradin.plans import star
-from gradin.plans.football import SILVER
+from gradin.plans.football import SILVER, STAR
 from gradin.plans.silver import build_silver
 from gradin.queries.columns import CALENDAR_SQL
 from gradin.queries.raw import clean, day, latest, minute, raw_sql, raw_table, second, whole
@@ -19,19 +19,20 @@ PLAYED_SQL = (
 )
 
 
-def raw_tables(spark, sf):
-    """All six raw tables, matches routed by their status."""
+def raw_of(spark, sf, name: str):
+    """The raw table of a silver table; matches are routed by their status."""
+    if name not in ("matchs_joues", "matchs_non_joues"):
+        return raw_table(spark, sf, name)
     played, upcoming = split_by_status(raw_table(spark, sf, "matchs"))
-    raw = {
-        name: raw_table(spark, sf, name)
-        for name in ("equipes", "joueurs", "buteurs", "classement_group_stage")
-    }
-    return {**raw, "matchs_joues": played, "matchs_non_joues": upcoming}
+    return played if name == "matchs_joues" else upcoming
+
+
+def silver_of(spark, sf, name: str):
+    return build_silver(SILVER[name], raw_of(spark, sf, name))
 
 
 def silver_tables(spark, sf):
-    raw = raw_tables(spark, sf)
-    return {name: build_silver(t, raw[name]) for name, t in SILVER.items()}
+    return {name: silver_of(spark, sf, name) for name in SILVER}
 
 
 def _silver_sql(
@@ -199,8 +200,7 @@ STAR_SQL = {
 def _register_silver(key: str, name: str) -> None:
     @register(key, SILVER_SQL[name])
     def query(spark, sf):
-        built = build_silver(SILVER[name], raw_tables(spark, sf)[name])
-        return plain_times(built.drop(PROCESSED_AT))
+        return plain_times(silver_of(spark, sf, name).drop(PROCESSED_AT))
 
 
 _register_silver("silver_teams", "equipes")
@@ -211,22 +211,25 @@ _register_silver("silver_upcoming", "matchs_non_joues")
 _register_silver("silver_standings", "classement_group_stage")
 
 
-def _register_star(key: str, name: str) -> None:
+def _register_projection(key: str, name: str, source: str) -> None:
     @register(key, STAR_SQL[name])
     def query(spark, sf):
-        return plain_times(star.build_star(silver_tables(spark, sf))[name])
+        return plain_times(star.projection_of(STAR[name], silver_of(spark, sf, source)))
 
 
-_register_star("dim_team", "dim_equipe")
-_register_star("dim_player", "dim_joueur")
-_register_star("dim_calendar", "dim_date")
-_register_star("fact_scorer", "fact_buteur")
-_register_star("fact_standing", "fact_classement")
+_register_projection("dim_team", "dim_equipe", "equipes")
+_register_projection("dim_player", "dim_joueur", "joueurs")
+_register_projection("fact_scorer", "fact_buteur", "buteurs")
+_register_projection("fact_standing", "fact_classement", "classement_group_stage")
 
 
 def _matches(spark, sf):
-    silver = silver_tables(spark, sf)
-    return silver["matchs_joues"], silver["matchs_non_joues"]
+    return tuple(silver_of(spark, sf, name) for name in ("matchs_joues", "matchs_non_joues"))
+
+
+@register("dim_calendar", STAR_SQL["dim_date"])
+def dim_calendar(spark, sf):
+    return star.dim_calendar(*_matches(spark, sf))
 
 
 @register(

@@ -9,7 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int = 8, name: str = "gradin") -> SparkSession:
-    """A local session for tests and the bench; on a cluster the caller brings its own."""
+    """A local session for tests and the bench; on a cluster the caller brings its own.
+
+    The JVM does not compile methods above 8,000 bytes to machine code. With the limit set
+    to that, Spark generates smaller ones for projections that would exceed it.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
@@ -17,6 +21,7 @@ def local_session(cpus: int = 8, name: str = "gradin") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
