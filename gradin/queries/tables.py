@@ -172,7 +172,8 @@ _BOTH = (
 )
 _DATE_ID = "CAST(strftime(match_date, '%Y%m%d') AS INTEGER)"
 
-# The venue id is Spark's hash, which SQL lacks: venues are compared by what they name.
+# The venue id is Spark's hash, which SQL lacks: it is compared by whether there is one,
+# and venues by what they name.
 STAR_SQL = {
     "dim_equipe": "SELECT equipe_id, nom_equipe, nom_court, code_tla, pays, code_pays, logo_url,"
     " couleurs_club, site_web, selectionneur, nationalite_selectionneur, derniere_maj"
@@ -185,10 +186,10 @@ STAR_SQL = {
     f" {CALENDAR_SQL.format(d='match_date')} FROM (SELECT DISTINCT match_date FROM ({_BOTH}) m"
     " WHERE match_date IS NOT NULL) d",
     "fact_match": f"SELECT match_id, {_DATE_ID} AS date_id, equipe_domicile_id,"
-    " equipe_exterieur_id, vainqueur_equipe_id, stade, ville, competition, journee, statut,"
+    " equipe_exterieur_id, vainqueur_equipe_id, competition, journee, statut,"
     " date_heure, score_domicile_mi_temps, score_exterieur_mi_temps, score_domicile_final,"
-    " score_exterieur_final, total_buts, resultat_match, is_match_joue, arbitre, derniere_maj"
-    f" FROM ({_BOTH}) m",
+    " score_exterieur_final, total_buts, resultat_match, is_match_joue, arbitre, derniere_maj,"
+    f" (stade IS NOT NULL OR ville IS NOT NULL) AS has_venue FROM ({_BOTH}) m",
     "fact_buteur": "SELECT joueur_id, equipe_id, buts, assists, matchs_joues, penaltys,"
     f" buts_par_match, derniere_maj FROM ({SILVER_SQL['buteurs']}) s",
     "fact_classement": "SELECT equipe_id, groupe, position, matchs_joues, victoires, nuls,"
@@ -234,21 +235,27 @@ def dim_calendar(spark, sf):
 
 @register(
     "dim_venue",
-    f"SELECT nom_stade, ville, TRUE AS keyed FROM ({STAR_SQL['dim_stade']}) s",
+    f"SELECT stade AS nom_stade, ville, count(*) AS matchs FROM ({_BOTH}) m"
+    " WHERE stade IS NOT NULL OR ville IS NOT NULL GROUP BY stade, ville",
 )
 def dim_venue(spark, sf):
-    venues = star.dim_venue(*_matches(spark, sf))
-    return venues.select("nom_stade", "ville", (F.col("stade_id") >= 0).alias("keyed"))
+    """Venues with the matches whose key leads to them.
+
+    Matches are counted per key before the join: there are few venues and many matches.
+    """
+    matches = _matches(spark, sf)
+    per_key = star.fact_match(*matches).groupBy("stade_id").agg(F.count(F.lit(1)).alias("matchs"))
+    return star.dim_venue(*matches).join(per_key, "stade_id").drop("stade_id")
+
+
+def _without_hash(facts):
+    known = F.col("stade_id").isNotNull().alias("has_venue")
+    return plain_times(facts.select("*", known).drop("stade_id"))
 
 
 @register("fact_match", STAR_SQL["fact_match"])
 def fact_match(spark, sf):
-    """The fact with its venue key looked up again: the key must lead back to the venue."""
-    matches = _matches(spark, sf)
-    facts = star.fact_match(*matches)
-    venues = star.dim_venue(*matches).withColumnRenamed("nom_stade", "stade")
-    named = facts.join(venues, "stade_id", "left").drop("stade_id")
-    return plain_times(named)
+    return _without_hash(star.fact_match(*_matches(spark, sf)))
 
 
 @register(
@@ -258,7 +265,4 @@ def fact_match(spark, sf):
 )
 def fact_match_single(spark, sf):
     """One row per match where both match tables have it; the played one stays."""
-    matches = _matches(spark, sf)
-    facts = star.fact_match(*matches, one_per_match=True)
-    venues = star.dim_venue(*matches).withColumnRenamed("nom_stade", "stade")
-    return plain_times(facts.join(venues, "stade_id", "left").drop("stade_id"))
+    return _without_hash(star.fact_match(*_matches(spark, sf), one_per_match=True))
