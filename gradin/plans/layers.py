@@ -116,7 +116,7 @@ def write_layer(
     together(
         spark, [partial(snapshot.write_snapshot, tables[n], path) for n, path in paths.items()]
     )
-    return {name: snapshot.read_layer(spark, out, layer, name) for name in tables}
+    return read_tables(spark, out, layer, tables)
 
 
 def ingest_bronze(
@@ -127,21 +127,39 @@ def ingest_bronze(
     return write_layer(spark, out, "bronze", raw)
 
 
-def run_layers(
-    spark: SparkSession,
-    landed: str,
-    out: str,
-    batch_id: str | None = None,
-    strict: bool = False,
+def read_tables(
+    spark: SparkSession, out: str, layer: str, tables: Iterable[str]
 ) -> dict[str, DataFrame]:
-    """Build all layers from landing files; gives back the written star tables.
+    return {name: snapshot.read_layer(spark, out, layer, name) for name in tables}
+
+
+def run_silver(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """Silver tables from the bronze tables that were written."""
+    bronze = read_tables(spark, out, "bronze", SILVER)
+    return write_layer(spark, out, "silver", build_all_silver(bronze))
+
 
-    With `strict` a broken constraint stops the run before any star table is replaced.
+def run_gold(spark: SparkSession, out: str, strict: bool = False) -> dict[str, DataFrame]:
+    """Star tables from the silver tables that were written.
+
+    With `strict` a broken constraint raises before any star table is replaced.
     """
-    bronze = ingest_bronze(spark, landed, out, batch_id or new_batch_id())
-    silver = write_layer(spark, out, "silver", build_all_silver(bronze))
-    star = build_star(silver)
+    star = build_star(read_tables(spark, out, "silver", SILVER))
     if strict:
         require_clean(constraint_report(STAR.values(), star))
     loaded = {name: conform(df, STAR[name]) for name, df in star.items()}
     return write_layer(spark, out, "gold", loaded)
+
+
+def run_layers(
+    spark: SparkSession,
+    landed: str,
+    out: str,
+    batch_id: str | None = None,
+    strict: bool = False,
+) -> dict[str, DataFrame]:
+    """All layers from landing files, each begun when the one before is complete; gives
+    back the written star tables."""
+    ingest_bronze(spark, landed, out, batch_id or new_batch_id())
+    run_silver(spark, out)
+    return run_gold(spark, out, strict)

@@ -112,6 +112,35 @@ def test_repair_beyond_the_broadcast_bound(frames, monkeypatch):
     assert repaired(repair.repair(TABLE, frames)) == REPAIRED
 
 
+def test_a_hot_key_is_split_beyond_the_broadcast_bound(spark, monkeypatch):
+    """Without a broadcast, adaptive execution splits the partition of the hot key."""
+    monkeypatch.setattr(repair, "broadcast_if_small", lambda df: df)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        child = spark.range(0, 300000, 1, 8).selectExpr("id AS k", "IF(id % 3 = 0, 7, id) AS fk")
+        parent = spark.range(0, 300000, 2).selectExpr("id AS pk")
+        keys = [ForeignKey("fk", "parent", "pk", "set null")]
+        found = repair.orphans_set_null(child, keys, parent)
+        known = found.where("fk IS NOT NULL")
+        assert found.count() == 300000
+        rows = known.collect()
+        plan = known._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in plan
+    assert len(rows) == sum(1 for i in range(300000) if i % 3 and i % 2 == 0)
+
+
 def test_broadcast_only_when_counted_and_of_fixed_width(spark):
     def hinted(df):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
