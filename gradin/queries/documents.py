@@ -82,7 +82,7 @@ def safe_path_get(spark, sf):
 # ---- squads --------------------------------------------------------------------------
 
 _SQUAD_DOC = """
-named_struct('id', o_custkey, 'squad', IF(o_orderkey % 10 = 0, NULL, array(
+named_struct('id', o_custkey, 'squad', IF(o_orderstatus = 'P', NULL, array(
   named_struct('id', o_orderkey * 2, 'firstName', o_orderstatus, 'lastName', o_orderpriority,
     'name', concat(o_orderstatus, ' ', o_orderpriority),
     'dateOfBirth', substr(CAST(o_orderdate AS STRING), 1, 10), 'nationality', o_orderpriority,
@@ -101,7 +101,7 @@ WITH teams AS (
   FROM ({_TEAMS_SQL}) t WHERE team_id <> ''),
 docs AS (
   SELECT o.*, t.team_id, t.equipe FROM orders o
-  JOIN teams t ON t.team_id = CAST(o_custkey AS VARCHAR) WHERE o_orderkey % 10 <> 0)
+  JOIN teams t ON t.team_id = CAST(o_custkey AS VARCHAR) WHERE o_orderstatus <> 'P')
 SELECT CAST(o_orderkey * 2 AS VARCHAR) AS joueur_id, team_id, equipe, o_orderpriority AS nom,
   o_orderstatus AS prenom, o_orderstatus || ' ' || o_orderpriority AS nom_complet,
   strftime(o_orderdate, '%Y-%m-%d') AS date_naissance, o_orderpriority AS nationalite,
@@ -159,7 +159,7 @@ named_struct('standings', array(
   named_struct('group', concat('GROUP_', chr(CAST(65 + o_custkey % 14 AS INT))),
     'stage', 'GROUP_STAGE', 'table', array({_LINE.format(n=1)}, {_LINE.format(n=2)})),
   named_struct('group', IF(o_orderkey % 2 = 0, '', NULL), 'stage', IF(o_orderkey % 3 = 0, NULL, 'LAST_16'),
-    'table', IF(o_orderkey % 5 = 0, NULL, array({_LINE.format(n=3)})))))
+    'table', IF(o_orderpriority = '5-LOW', NULL, array({_LINE.format(n=3)})))))
 """
 _STANDING_LINE_SQL = """
 SELECT {groupe} AS groupe, '{n}' AS position, CAST(o_custkey + {n} AS VARCHAR) AS equipe_id,
@@ -182,7 +182,7 @@ _NO_GROUP = "CASE WHEN o_orderkey % 3 = 0 THEN 'INCONNU' ELSE 'LAST_16' END"
         [
             _STANDING_LINE_SQL.format(groupe=_KNOWN_GROUP, n=1),
             _STANDING_LINE_SQL.format(groupe=_KNOWN_GROUP, n=2),
-            _STANDING_LINE_SQL.format(groupe=_NO_GROUP, n=3) + " WHERE o_orderkey % 5 <> 0",
+            _STANDING_LINE_SQL.format(groupe=_NO_GROUP, n=3) + " WHERE o_orderpriority <> '5-LOW'",
         ]
     ),
 )
