@@ -28,7 +28,7 @@ def local_session(cpus: int = 8, name: str = "gradin") -> SparkSession:
     return spark
 
 
-def checkpoint_root(spark: SparkSession) -> str:
+def shared_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
     A local session without the setting gets a temporary folder. A cluster
@@ -40,11 +40,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="gradin-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other call gets."""
-    return f"{checkpoint_root(spark)}/gradin-{label}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/gradin-{label}-{uuid.uuid4().hex}"
