@@ -72,6 +72,7 @@ def main() -> None:
     given = arguments()
     spark = (
         SparkSession.builder.appName("gradin")
+        .config("spark.sql.ansi.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()

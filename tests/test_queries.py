@@ -29,3 +29,16 @@ def test_query_matches_sql(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_runs(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() >= 0
+
+
+TYPED = [n for n in sorted(ORACLES) if n.startswith(("silver_", "cast_", "fact_", "to_numeric"))]
+
+
+@pytest.mark.parametrize("name", TYPED)
+def test_typed_tables_match_sql_without_ansi(spark, con, name):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
