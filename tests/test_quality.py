@@ -167,3 +167,14 @@ def test_the_star_declares_what_the_warehouse_does():
     assert sum(len(t.foreign_keys) for t in STAR.values()) == 9
     lengths = [k for t in STAR.values() for _, k in t.columns if k.startswith("varchar")]
     assert len(lengths) == 9 + 5 + 2 + 2 + 4 + 0 + 2
+
+
+def test_row_checks_stay_in_one_stage_and_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id AS k", "id - 2 AS n", "id % 14 AS month").write.parquet(path)
+    checks = [rules.non_negative("n"), rules.in_range("month", 1, 12)]
+    found = quality.check_rows(spark.read.parquet(path), "t", ["k"], checks)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert "LessThan(n,0)" in plan.split("PushedFilters")[1]
+    assert found.count() == sum((i < 2) + (i % 14 in (0, 13)) for i in range(100))
