@@ -8,9 +8,9 @@ from gradin.functions import typing
 from gradin.operators import quality, repair, rules
 from gradin.plans.football import FACT_BUTEUR, STAR
 from gradin.plans.layers import write_layer
-from gradin.plans.star import build_star
-from gradin.queries.registry import register, table
-from gradin.queries.tables import STAR_SQL, silver_tables
+from gradin.plans.star import build_star, projection_of
+from gradin.queries.registry import plain_times, register, table
+from gradin.queries.tables import STAR_SQL, silver_of, silver_tables
 from gradin.session import scratch_path
 from gradin.spec import ForeignKey
 
@@ -360,3 +360,64 @@ def venue_constraints(spark, sf):
     tables = [STAR["dim_stade"], STAR["fact_match"]]
     report = quality.constraint_report(tables, _written_star(spark, sf))
     return report.where("table = 'dim_stade' OR rule = 'foreign_key(stade_id)'")
+
+
+# ---- one fact's violations and its repair --------------------------------------------
+
+_SCORERS = ("dim_equipe", "dim_joueur", "fact_buteur")
+_SCORER_TABLES = ", ".join(f"{n} AS MATERIALIZED ({STAR_SQL[n]})" for n in _SCORERS)
+_SCORER_KEY = (
+    "coalesce(CAST(joueur_id AS VARCHAR), 'NULL') || '|' ||"
+    " coalesce(CAST(equipe_id AS VARCHAR), 'NULL')"
+)
+_SCORER_ORPHANS = {
+    "joueur_id": "joueur_id IS NOT NULL AND joueur_id NOT IN (SELECT joueur_id FROM dim_joueur)",
+    "equipe_id": "equipe_id IS NOT NULL AND equipe_id NOT IN (SELECT equipe_id FROM dim_equipe)",
+}
+
+
+def _scorer_frames(spark, sf):
+    sources = dict(zip(_SCORERS, ("equipes", "joueurs", "buteurs")))
+    silver = {source: silver_of(spark, sf, source) for source in sources.values()}
+    written = write_layer(spark, scratch_path(spark, "layers"), "silver", silver)
+    return {name: projection_of(STAR[name], written[source]) for name, source in sources.items()}
+
+
+@register(
+    "star_violations",
+    f"WITH {_SCORER_TABLES} "
+    + _row_sql(
+        "fact_buteur",
+        "fact_buteur",
+        _SCORER_KEY,
+        [
+            ("not_null(joueur_id)", "joueur_id IS NULL", "NULL"),
+            ("not_null(equipe_id)", "equipe_id IS NULL", "NULL"),
+            ("numeric(buts_par_match,5,2)", "abs(buts_par_match) >= 999.995", "buts_par_match"),
+            ("non_negative(buts)", "buts < 0", "buts"),
+            ("non_negative(assists)", "assists < 0", "assists"),
+            ("non_negative(penaltys)", "penaltys < 0", "penaltys"),
+        ],
+    )
+    + "".join(
+        f" UNION ALL SELECT 'fact_buteur', 'foreign_key({c})', CAST({c} AS VARCHAR),"
+        f" CAST({c} AS VARCHAR), count(*) FROM fact_buteur WHERE {lost} GROUP BY {c}"
+        for c, lost in _SCORER_ORPHANS.items()
+    )
+    + " UNION ALL SELECT 'fact_buteur', 'primary_key(joueur_id,equipe_id)',"
+    f" {_SCORER_KEY}, NULL, count(*) FROM fact_buteur WHERE joueur_id IS NOT NULL"
+    " AND equipe_id IS NOT NULL GROUP BY joueur_id, equipe_id HAVING count(*) > 1",
+)
+def star_violations(spark, sf):
+    """Everything in the scorer fact that breaks its declaration."""
+    return quality.violations(FACT_BUTEUR, _scorer_frames(spark, sf))
+
+
+@register(
+    "star_repair",
+    f"WITH {_SCORER_TABLES} SELECT * FROM fact_buteur"
+    f" WHERE NOT ({_SCORER_ORPHANS['joueur_id']}) AND NOT ({_SCORER_ORPHANS['equipe_id']})",
+)
+def star_repair(spark, sf):
+    """The scorer fact after its delete rules."""
+    return plain_times(repair.repair(FACT_BUTEUR, _scorer_frames(spark, sf)))

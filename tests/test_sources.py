@@ -74,6 +74,27 @@ def test_one_folder_per_group(spark, tmp_path, gather):
     assert landing.read_raw_csv(spark, path, ["id", "groupe"]).count() == 100
 
 
+def test_a_hot_group_is_written_by_several_tasks(spark, tmp_path):
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
+    before = {k: spark.conf.get(k) for k in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        df = spark.range(0, 60000, 1, 8).selectExpr(
+            "CAST(id AS STRING) AS id", "IF(id % 3 = 0, 'hot', CAST(id % 11 AS STRING)) AS g"
+        )
+        landing.write_csv_per_group(df, str(tmp_path / "out"), ["id"], "g")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    files = len(list((tmp_path / "out" / "g_folder=hot").glob("*.csv")))
+    assert 1 < files
+    assert landing.read_raw_csv(spark, str(tmp_path / "out"), ["id"]).count() == 60000
+
+
 def test_lineage(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id\n1\n")
     raw = landing.read_raw_csv(spark, str(tmp_path), ["id"])
