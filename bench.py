@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR is the folder of the tables, BENCH_CPUS the number of local cores. Every
-query runs whole into Spark's no-op sink; the time is the best of two runs after one
+query runs whole into Spark's no-op sink; the time is the best of three runs after one
 warm-up of the session.
 """
 
@@ -35,7 +35,7 @@ HEADLINES = (
     "bronze_ingest",
     "layered_run",
 )
-RUNS = 2
+RUNS = 3
 
 
 def seconds(spark, name: str, sf_dir: str) -> float:

@@ -75,6 +75,7 @@ def main() -> None:
         .config("spark.sql.ansi.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
     run(spark, given)

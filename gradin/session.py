@@ -12,7 +12,9 @@ def local_session(cpus: int = 8, name: str = "gradin") -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own.
 
     The JVM does not compile methods above 8,000 bytes to machine code. With the limit set
-    to that, Spark generates smaller ones for projections that would exceed it.
+    to that, Spark generates smaller ones for projections that would exceed it. The report
+    alone has more generated classes than the default of 100 that Spark keeps, and each one
+    it drops is compiled again and starts cold.
     """
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -22,6 +24,7 @@ def local_session(cpus: int = 8, name: str = "gradin") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
