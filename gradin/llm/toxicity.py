@@ -27,7 +27,7 @@ LENGTH, STRIDE = 32, 24
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 13, 1 << 12
 WIDTH, HIDDEN = 6, 8
 PER_LABEL = 1500
-EPOCHS, LEAST_STEPS = 8, 300
+EPOCHS, LEAST_STEPS = 6, 200
 #: Windows that are scored at a time.
 _AT_ONCE = 2048
 
@@ -292,28 +292,46 @@ def _log_odds(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return odds[:WORD_BUCKETS], odds[WORD_BUCKETS:]
 
 
-def _training_windows(sample: DataFrame, word_odds: np.ndarray, char_odds: np.ndarray) -> list:
-    """(label, words, triples, lengths): of each sampled text the window with the highest log odds, and
-    of one that is not toxic another by a hash. Windows are bounded, texts are not."""
-    held = sample.sparkSession.sparkContext.broadcast((word_odds, char_odds))
+@dataclass
+class OddsStrength:
+    """Of each window the sum of its words' squared log odds, where these speak for toxic."""
+
+    word: np.ndarray
+    char: np.ndarray
+
+    def __call__(self, u: Units, text: np.ndarray, start: np.ndarray) -> np.ndarray:
+        chars = X.summed(self.char[u.grams], u.gram_first[:-1], u.gram_first[1:])
+        value = self.word[u.word] + chars / np.maximum(1, np.diff(u.gram_first))
+        sums = np.concatenate([[0], np.cumsum(np.maximum(0, value)[u.ids - 1] ** 2)])
+        return sums[np.minimum(start + LENGTH, u.first[1:][text])] - sums[start]
+
+
+@dataclass
+class NetworkStrength:
+    network: Frozen
+
+    def __call__(self, u: Units, text: np.ndarray, start: np.ndarray) -> np.ndarray:
+        return self.network.logits(u, window_words(u, text, start))
+
+
+def _training_windows(sample: DataFrame, strength) -> list:
+    """(label, words, triples, lengths): of each sampled text the strongest window, and of one
+    that is not toxic another by a hash. Windows are bounded, texts are not."""
+    held = sample.sparkSession.sparkContext.broadcast(strength)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_word, by_char = held.value
         rows = []
         for batch in batches:
             label, h = batch.column("label").to_numpy(), batch.column("h").to_numpy()
             for begin, texts in pieces(batch.column("text")):
                 u = units(texts)
-                chars = X.summed(by_char[u.grams], u.gram_first[:-1], u.gram_first[1:])
-                value = by_word[u.word] + chars / np.maximum(1, np.diff(u.gram_first))
-                run_sum = np.concatenate([[0], np.cumsum(np.maximum(0, value)[u.ids - 1] ** 2)])
                 text, start = window_starts(u.first)
                 stop = np.minimum(start + LENGTH, u.first[1:][text])
-                strength = run_sum[stop] - run_sum[start]
+                value = held.value(u, text, start)
                 cuts = np.searchsorted(text, np.arange(len(texts) + 1))
                 for i in range(len(texts)):
                     a, b = cuts[i], cuts[i + 1]
-                    picks = {int(a + strength[a:b].argmax())}
+                    picks = {int(a + value[a:b].argmax())}
                     if not label[begin + i]:
                         picks.add(int(a + int(h[begin + i]) % (b - a)))
                     for w in sorted(picks):
@@ -337,8 +355,7 @@ def _training_windows(sample: DataFrame, word_odds: np.ndarray, char_odds: np.nd
     return [(r.label, read(r.word), read(r.grams), read(r.lengths)) for r in got.itertuples()]
 
 
-def _trained(windows: list, word_odds: np.ndarray, char_odds: np.ndarray, epochs: int, seed: int) -> Network:
-    net = Network(seed, word_odds, char_odds)
+def _train(net: Network, windows: list, epochs: int, seed: int) -> None:
     y_all = np.array([w[0] for w in windows], float)
     balance = np.where(y_all > 0, 0.5 / max(1, y_all.sum()), 0.5 / max(1, (1 - y_all).sum())) * len(y_all)
     draw = np.random.default_rng(seed)
@@ -376,7 +393,6 @@ def _trained(windows: list, word_odds: np.ndarray, char_odds: np.ndarray, epochs
                 first[k] += 0.1 * (g[k] - first[k])
                 second[k] += 0.01 * (g[k] ** 2 - second[k])
                 v -= rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)
-    return net
 
 
 def fit(
@@ -390,11 +406,15 @@ def fit(
     sample = X.labelled_sample(docs, labels, per_label).select("label", F.xxhash64("doc_id").alias("h"), "text")
     sample = written(sample, "labelled")
     own, apart = sample.where("pmod(h, 5) <> 0"), sample.where("pmod(h, 5) = 0")
-    word_odds, char_odds = _log_odds(own)
-    windows = _training_windows(own, word_odds, char_odds)
+    odds = _log_odds(own)
+    windows = _training_windows(own, OddsStrength(*odds))
     if len({w[0] for w in windows}) < 2:
         return None
-    network = _trained(windows, word_odds, char_odds, epochs, seed).frozen()
+    learner = Network(seed, *odds)
+    _train(learner, windows, epochs, seed)
+    # the windows that this network finds worst teach it what it still takes for toxic
+    _train(learner, windows + _training_windows(own, NetworkStrength(learner.frozen())), epochs // 2, seed + 1)
+    network = learner.frozen()
     margins = _margins(apart, network)
     if margins["label"].nunique() < 2:
         margins = _margins(sample, network)
