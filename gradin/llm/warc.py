@@ -139,19 +139,26 @@ def write_archive(
     rows = rows.withColumn("n", F.octet_length("html"))
     rows = rows.withColumn("key", F.when(F.col("n") >= least_bytes, F.sha2(F.col("html").cast("binary"), 256)))
     # of each payload the largest id; only those that occur twice have something to tell
-    originals = rows.where("key IS NOT NULL").groupBy("key").agg(F.max("page_id").alias("original"), F.count("*").alias("times"))
+    small = rows.where("key IS NOT NULL").select("page_id", "url", "key")
+    originals = small.groupBy("key").agg(F.max("page_id").alias("original"), F.count("*").alias("times"))
     originals = originals.where("times > 1 AND original IS NOT NULL").select("key", "original")
-    rows = rows.join(originals, "key", "left")
-    refers = F.when(~F.col("page_id").eqNullSafe(F.col("original")), F.col("original"))
-    rows = rows.select("page_id", "url", "html", refers.alias("refers_to"))
+    # a mark tells the rows that it is sorted before what they refer to; so payloads move once
+    marks = small.join(originals, "key").where(~F.col("page_id").eqNullSafe(F.col("original")))
+    marks = marks.select("page_id", "url", F.lit(None).cast("string").alias("html"), "key", F.col("original").alias("refers_to")).distinct()
+    rows = rows.select("page_id", "url", "html", "key", F.lit(None).cast("bigint").alias("refers_to")).unionByName(marks)
     fs, path = store(folder)
     fs.create_dir(f"{path}/_temporary", recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _Files(folder, TaskContext.get().partitionId(), roll_at)
-        out = []
+        out, mark = [], None
         for batch in batches:
             for row in batch.to_pylist():
+                same = row["page_id"], row["url"], row["key"]
+                if row["html"] is None:
+                    mark = same, row["refers_to"]
+                    continue
+                row["refers_to"] = mark[1] if mark and mark[0] == same else None
                 out += files.add(_gzip(record(row, row["html"].encode())))
         if files.out is not None:
             out.append(files.close())
@@ -160,7 +167,7 @@ def write_archive(
         columns = list(zip(*out, strict=True)) or [[] for _ in names]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    ranged = rows.repartitionByRange("page_id", "url").sortWithinPartitions("page_id", "url", "html")
+    ranged = rows.repartitionByRange("page_id", "url").sortWithinPartitions("page_id", "url", "key", "html")
     ranged.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
