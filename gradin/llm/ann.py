@@ -8,6 +8,7 @@ as many as the sample needed for the wished recall, and is compared there with e
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,8 +22,9 @@ from pyspark.sql.window import Window
 from gradin.llm.graph import written
 
 SAMPLE = 8192
-#: Rows that a part should have, and the most parts that the sample can teach.
-PER_PART, MOST_PARTS = 4096, 256
+#: There are sqrt(rows) / PART_SCALE parts: with a fixed number of rows to a part, what queries
+#: find in all their parts would grow with the square of the input. The sample teaches MOST_PARTS.
+PART_SCALE, MOST_PARTS = 16, 256
 NEIGHBOURS = 10
 #: Recall on the sample that fixes how many parts a query goes to.
 WANTED = 0.97
@@ -213,7 +215,7 @@ def search(
     rows = rows.where(F.size("v") == width)
     taught = rows.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("v")).limit(sample).toPandas()
     x = _matrix(taught["v"])
-    parts = max(1, min(MOST_PARTS, -(-total // PER_PART) * 2, len(x) // 32))
+    parts = max(1, min(MOST_PARTS, math.ceil(math.sqrt(total) / PART_SCALE), len(x) // 32))
     router = fit(x, parts, k, wanted) if parts > 1 else None
     held = rows.sparkSession.sparkContext.broadcast(router)
 
