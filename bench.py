@@ -47,7 +47,6 @@ def seconds(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(int(os.environ.get("BENCH_CPUS", "8")), "bench")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_linenumber").count().collect()
     times = {
         name: round(min(seconds(spark, name, sf_dir) for _ in range(RUNS)), 3)

@@ -37,6 +37,9 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--landing", help="folder of landing files")
     parser.add_argument("--out", help="folder of the bronze, silver and gold tables")
     parser.add_argument("--strict", action="store_true", help="stop at a broken constraint")
+    parser.add_argument("--rejects", help="folder for damaged documents; without it they stop the run")
+    parser.add_argument("--key-bits", type=int, choices=(32, 64), default=32, help="of venue keys")
+    parser.add_argument("--one-per-match", action="store_true", help="keep the played row of a match")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-schema", default="public")
     parser.add_argument("--jdbc-partitions", type=int, help="connections opened at a time")
@@ -53,13 +56,17 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, given: argparse.Namespace) -> None:
     """The chosen steps, in layer order whatever order they were named in."""
     if "extract" in given.steps:
-        layers.extract(layers.read_source_documents(spark, given.documents), given.landing)
+        docs = layers.read_source_documents(spark, given.documents, given.rejects)
+        layers.extract(docs, given.landing)
     if "bronze" in given.steps:
         layers.ingest_bronze(spark, given.landing, given.out, new_batch_id())
     if "silver" in given.steps:
         layers.run_silver(spark, given.out)
     if "gold" in given.steps:
-        load_report(layers.run_gold(spark, given.out, given.strict)).show(truncate=False)
+        gold = layers.run_gold(
+            spark, given.out, given.strict, bits=given.key_bits, one_per_match=given.one_per_match
+        )
+        load_report(gold).show(truncate=False)
     if "publish" in given.steps:
         properties = dict(option.split("=", 1) for option in given.jdbc_option)
         if given.jdbc_password_env:
@@ -72,7 +79,6 @@ def main() -> None:
     given = arguments()
     spark = (
         SparkSession.builder.appName("gradin")
-        .config("spark.sql.ansi.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.codegen.cache.maxEntries", "2000")

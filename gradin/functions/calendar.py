@@ -10,7 +10,7 @@ from gradin.functions.typing import SECOND_FORMAT
 # An ISO date, optionally with a time of day and an offset.
 _ISO = (
     r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:[T ](\d{2}:\d{2})(:\d{2}(?:\.\d{3}(?:\d{3})?)?)?(?:Z|[+-]\d{2}:\d{2})?)?$"
+    r"(?:[T ](\d{2}:\d{2})(:\d{2}(?:\.\d{3}(?:\d{3})?)?)?(?:Z|[+-]\d{2}:\d{2})?)?\z"
 )
 
 

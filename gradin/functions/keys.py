@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def hash_key(*parts: Column, bits: int = 32) -> Column:
-    """Non-negative hash of text parts, NULL and '' alike.
+    """Hash of text parts, NULL and '' alike, without its sign but for the smallest integer.
 
     32 bits gives the key of the warehouse schema, an INTEGER; near 55,000 distinct
     values two of them are as likely as not to share a key, which the primary key

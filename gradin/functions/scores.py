@@ -46,7 +46,7 @@ def is_played(status: Column) -> Column:
 
 def _group_letter(raw: Column) -> Column:
     # Empty unless the raw text is a known group, in any case, blank or underscore.
-    return F.regexp_extract(F.upper(raw), f"^GROUP[ _]([{GROUP_LETTERS}])$", 1)
+    return F.regexp_extract(F.upper(raw), rf"^GROUP[ _]([{GROUP_LETTERS}])\z", 1)
 
 
 def group_label(raw: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The formats of the landed texts.
@@ -13,16 +13,14 @@ MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
 # What a number may be wrapped in (blanks and control characters), its sign and digits,
 # and a fraction, which counts for nothing.
 _PAD = r"[\x00-\x20\x7F]*"
-_NUMBER = rf"^{_PAD}([+-]?\d+)(?:\.\d*)?{_PAD}$"
-_FRACTION = rf"^{_PAD}[+-]?\.\d*{_PAD}$"
+_NUMBER = rf"^{_PAD}([+-]?\d+)(?:\.\d*)?{_PAD}\z"
+_FRACTION = rf"^{_PAD}[+-]?\.\d*{_PAD}\z"
 
 
 def _to_integral(col: Column, type_name: str) -> Column:
-    # "2.9" counts as 2 and ".5" as 0, as in a lenient cast, which is the fastest way where
-    # the session has it. Under ANSI only what looks like a number is cast: try_cast throws
-    # and catches on a malformed text, ten times the cost of a match.
-    if SparkSession.active().conf.get("spark.sql.ansi.enabled") == "false":
-        return col.cast(type_name)
+    # "2.9" counts as 2 and ".5" as 0, as in a lenient cast. Only what looks like a number is
+    # cast: under ANSI try_cast throws and catches on a malformed text, ten times the cost of
+    # a match. The expression is the same in every session.
     digits = F.nullif(F.regexp_extract(col, _NUMBER, 1), F.lit(""))
     return F.coalesce(digits, F.when(col.rlike(_FRACTION), F.lit("0"))).try_cast(type_name)
 

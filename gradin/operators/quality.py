@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradin.operators.rules import rules_of
 from gradin.spec import ForeignKey, Rule, StarTable
@@ -66,6 +67,26 @@ def check_primary_key(df: DataFrame, table: str, key: Sequence[str]) -> DataFram
     )
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def compared_as(child: DataFrame, columns: Sequence[str], parent: DataFrame, parent_key: str) -> str:
+    """A type that holds the values of the foreign keys and of the parent's key alike.
+
+    Nothing is narrowed: a value that the parent's type cannot hold is one the parent lacks.
+    """
+    kinds = [parent.schema[parent_key].dataType, *[child.schema[c].dataType for c in columns]]
+    if all(kind == kinds[0] for kind in kinds):
+        return kinds[0].simpleString()
+    if all(isinstance(kind, _WHOLE) for kind in kinds):
+        return "bigint"
+    if all(isinstance(kind, (*_WHOLE, T.DecimalType)) for kind in kinds):
+        return "decimal(38,10)"
+    if all(isinstance(kind, T.NumericType) for kind in kinds):
+        return "double"
+    return "string"
+
+
 def orphan_counts(
     child: DataFrame, columns: Sequence[str], parent: DataFrame, parent_key: str
 ) -> DataFrame:
@@ -74,7 +95,7 @@ def orphan_counts(
     All columns that refer to the same parent are read in one pass. Both the grouping
     and the anti-join are on the value, so the grouped values are not shuffled again.
     """
-    kind = parent.schema[parent_key].dataType
+    kind = compared_as(child, columns, parent, parent_key)
     if len(columns) == 1:
         values = child.select(F.lit(columns[0]).alias("of"), F.col(columns[0]).cast(kind).alias("key"))
     else:
@@ -87,7 +108,7 @@ def orphan_counts(
         .groupBy("key")
         .agg(*[F.count_if(F.col("of") == c).alias(c) for c in columns])
     )
-    keys = parent.select(F.col(parent_key).alias("key"))
+    keys = parent.select(F.col(parent_key).cast(kind).alias("key"))
     return counts.join(keys, "key", "left_anti")
 
 
@@ -136,25 +157,55 @@ def _counted(counts: dict[str, Column]) -> Column:
     return F.inline(F.array(*pairs))
 
 
-def _rule_counts(table: StarTable, frames: dict[str, DataFrame]) -> list[DataFrame]:
-    df = frames[table.name]
+class RowRules:
+    """Counts what breaks a table's row rules while the frame is written for another reason."""
+
+    def __init__(self, table: StarTable, df: DataFrame):
+        self.table, self.seen = table, Observation()
+        self.rules = {f"r{i}": rule for i, rule in enumerate(rules_of(table))}
+        # one more count, so that a table without rules can be observed as well
+        counts = [F.count_if(rule.violated()).alias(c) for c, rule in self.rules.items()]
+        self.frame = df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def counts(self) -> list[tuple[str, str, int]]:
+        """(table, rule, violations), once the frame was written."""
+        found = self.seen.get
+        return [(self.table.name, rule.name, found[c]) for c, rule in self.rules.items()]
+
+
+def _row_counts(table: StarTable, df: DataFrame) -> DataFrame:
     rules = {f"r{i}": rule for i, rule in enumerate(rules_of(table))}
     per_row = df.agg(*[F.count_if(rule.violated()).alias(c) for c, rule in rules.items()])
-    parts = [per_row.select(_counted({r.name: F.col(c) for c, r in rules.items()}))]
+    return _named(table, per_row.select(_counted({r.name: F.col(c) for c, r in rules.items()})))
+
+
+def _named(table: StarTable, counts: DataFrame) -> DataFrame:
+    return counts.select(F.lit(table.name).alias("table"), "rule", "violations")
+
+
+def _key_counts(table: StarTable, frames: dict[str, DataFrame]) -> list[DataFrame]:
+    df = frames[table.name]
     repeated = _repeated(df, table.primary_key).agg(F.count(F.lit(1)).alias("n"))
-    parts.append(repeated.select(_counted({table.primary_key_rule: F.col("n")})))
+    parts = [repeated.select(_counted({table.primary_key_rule: F.col("n")}))]
     for (parent, parent_key), keys in keys_by_parent(table).items():
         columns = [k.column for k in keys]
         lost = orphan_counts(df, columns, frames[parent], parent_key)
         sums = lost.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
         parts.append(sums.select(_counted({k.rule: F.col(k.column) for k in keys})))
-    return [p.select(F.lit(table.name).alias("table"), "rule", "violations") for p in parts]
+    return [_named(table, p) for p in parts]
+
+
+def key_report(tables: Iterable[StarTable], frames: dict[str, DataFrame]) -> DataFrame:
+    """One row per primary and foreign key: repeated or lost values."""
+    parts = [part for table in tables for part in _key_counts(table, frames)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def constraint_report(tables: Iterable[StarTable], frames: dict[str, DataFrame]) -> DataFrame:
     """One row per declared rule: offending rows, or repeated values for a primary key."""
-    parts = [part for table in tables for part in _rule_counts(table, frames)]
-    return reduce(DataFrame.unionByName, parts)
+    tables = list(tables)
+    rows = [_row_counts(t, frames[t.name]) for t in tables]
+    return reduce(DataFrame.unionByName, [*rows, key_report(tables, frames)])
 
 
 def require_clean(report: DataFrame) -> None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from gradin.functions.scores import group_slug, is_played
 from gradin.operators import flatten
-from gradin.operators.quality import constraint_report, require_clean
+from gradin.operators.quality import RowRules, key_report, require_clean
 from gradin.operators.repair import conform
-from gradin.plans.football import LANDING_COLUMNS, LANDING_FILES, SILVER, STAR
+from gradin.plans.football import LANDING_COLUMNS, LANDING_FILES, SILVER
 from gradin.plans.silver import build_all_silver
-from gradin.plans.star import build_star
+from gradin.plans.star import build_star, star_tables
 from gradin.sources import documents, landing, snapshot
 from gradin.sources.lineage import new_batch_id, with_lineage
 
@@ -48,6 +48,11 @@ def land_matches(matches: DataFrame, landed: str) -> None:
         group="table",
         gather=False,
     )
+    # a side without matches has its header all the same, as before the first match or after the last
+    for table in ("matchs_joues", "matchs_non_joues"):
+        folder = f"{landed.rstrip('/')}/matchs/table_folder={table}"
+        columns = LANDING_COLUMNS[table]
+        landing.append_csv(landing.empty_table(matches.sparkSession, columns), folder, columns)
 
 
 def land_standings(standings: DataFrame, landed: str) -> None:
@@ -85,8 +90,13 @@ def extract(docs: dict[str, DataFrame], landed: str) -> None:
     together(spark, steps)
 
 
-def read_source_documents(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The five kinds of JSON lines documents below a folder."""
+def read_source_documents(
+    spark: SparkSession, root: str, rejects: str | None = None
+) -> dict[str, DataFrame]:
+    """The five kinds of JSON lines documents below a folder.
+
+    A damaged document fails the run; with `rejects` it goes to a table below that folder.
+    """
     schemas = {
         "teams": documents.TEAMS,
         "squads": documents.SQUAD,
@@ -95,7 +105,9 @@ def read_source_documents(spark: SparkSession, root: str) -> dict[str, DataFrame
         "matches": documents.MATCHES,
     }
     return {
-        kind: documents.read_documents(spark, f"{root.rstrip('/')}/{kind}", schema)
+        kind: documents.read_documents(
+            spark, f"{root.rstrip('/')}/{kind}", schema, f"{rejects.rstrip('/')}/{kind}" if rejects else None
+        )
         for kind, schema in schemas.items()
     }
 
@@ -109,22 +121,36 @@ def raw_with_lineage(spark: SparkSession, landed: str, table: str, batch_id: str
 
 
 def write_layer(
-    spark: SparkSession, out: str, layer: str, tables: dict[str, DataFrame]
+    spark: SparkSession, out: str, layer: str, tables: dict[str, DataFrame], batch_id: str
 ) -> dict[str, DataFrame]:
-    """Write the tables and give back what was written."""
-    paths = {name: snapshot.layer_path(out, layer, name) for name in tables}
+    """Write the tables of a batch below its own folder and give back what was written.
+
+    Nobody reads it before it is published, so a failure halfway leaves what there was.
+    """
+    paths = {name: snapshot.layer_path(out, layer, f"{batch_id}/{name}") for name in tables}
     together(
         spark, [partial(snapshot.write_snapshot, tables[n], path) for n, path in paths.items()]
     )
-    return read_tables(spark, out, layer, tables)
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 
 def ingest_bronze(
     spark: SparkSession, landed: str, out: str, batch_id: str, tables: Iterable[str] = SILVER
 ) -> dict[str, DataFrame]:
-    """Land files as Parquet."""
+    """Land files as Parquet. Lines with another number of fields than there are columns go to
+    the batch's table `rejected` (table, file, record)."""
+    tables = list(tables)
     raw = {t: raw_with_lineage(spark, landed, t, batch_id) for t in tables}
-    return write_layer(spark, out, "bronze", raw)
+    bad = [
+        landing.rejected_rows(spark, landing_path(landed, t), LANDING_COLUMNS[t]).select(
+            F.lit(t).alias("table"), "file", "record"
+        )
+        for t in tables
+    ]
+    raw["rejected"] = reduce(DataFrame.unionByName, bad)
+    written = write_layer(spark, out, "bronze", raw, batch_id)
+    snapshot.publish(spark, out, "bronze", batch_id)
+    return written
 
 
 def read_tables(
@@ -133,22 +159,45 @@ def read_tables(
     return {name: snapshot.read_layer(spark, out, layer, name) for name in tables}
 
 
-def run_silver(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """Silver tables from the bronze tables that were written."""
+def run_silver(spark: SparkSession, out: str, batch_id: str | None = None) -> dict[str, DataFrame]:
+    """Silver tables from the bronze tables that were published."""
+    batch_id = batch_id or new_batch_id()
     bronze = read_tables(spark, out, "bronze", SILVER)
-    return write_layer(spark, out, "silver", build_all_silver(bronze))
+    written = write_layer(spark, out, "silver", build_all_silver(bronze), batch_id)
+    snapshot.publish(spark, out, "silver", batch_id)
+    return written
 
 
-def run_gold(spark: SparkSession, out: str, strict: bool = False) -> dict[str, DataFrame]:
-    """Star tables from the silver tables that were written.
+def run_gold(
+    spark: SparkSession,
+    out: str,
+    strict: bool = False,
+    batch_id: str | None = None,
+    bits: int = 32,
+    one_per_match: bool = False,
+) -> dict[str, DataFrame]:
+    """Star tables from the silver tables that were published.
 
-    With `strict` a broken constraint raises before any star table is replaced.
+    Row rules are counted while the tables are written, before values that do not fit their
+    declared type become NULL; keys are checked on what was written. The batch's table
+    `constraint_report` has the result. With `strict` a broken constraint raises, and the
+    batch is not published: what was published before stays.
     """
-    star = build_star(read_tables(spark, out, "silver", SILVER))
+    batch_id = batch_id or new_batch_id()
+    declared = star_tables(bits)
+    star = build_star(read_tables(spark, out, "silver", SILVER), bits, one_per_match)
+    counted = {name: RowRules(declared[name], df) for name, df in star.items()}
+    loaded = {name: conform(counted[name].frame, declared[name]) for name in star}
+    written = write_layer(spark, out, "gold", loaded, batch_id)
+    rows = [row for rules in counted.values() for row in rules.counts()]
+    report = spark.createDataFrame(rows, "table string, rule string, violations bigint")
+    report = report.unionByName(key_report(declared.values(), written))
+    path = snapshot.layer_path(out, "gold", f"{batch_id}/constraint_report")
+    snapshot.write_snapshot(report, path)
     if strict:
-        require_clean(constraint_report(STAR.values(), star))
-    loaded = {name: conform(df, STAR[name]) for name, df in star.items()}
-    return write_layer(spark, out, "gold", loaded)
+        require_clean(spark.read.parquet(path))
+    snapshot.publish(spark, out, "gold", batch_id)
+    return written
 
 
 def run_layers(
@@ -157,9 +206,12 @@ def run_layers(
     out: str,
     batch_id: str | None = None,
     strict: bool = False,
+    bits: int = 32,
+    one_per_match: bool = False,
 ) -> dict[str, DataFrame]:
     """All layers from landing files, each begun when the one before is complete; gives
     back the written star tables."""
-    ingest_bronze(spark, landed, out, batch_id or new_batch_id())
-    run_silver(spark, out)
-    return run_gold(spark, out, strict)
+    batch_id = batch_id or new_batch_id()
+    ingest_bronze(spark, landed, out, batch_id)
+    run_silver(spark, out, batch_id)
+    return run_gold(spark, out, strict, batch_id, bits, one_per_match)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,15 +80,27 @@ def fact_match(*matches: DataFrame, one_per_match: bool = False, bits: int = 32)
     )
 
 
-def build_star(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def star_tables(bits: int = 32) -> dict[str, StarTable]:
+    """The declared tables; with 64 bits the venue key is a bigint wherever it stands."""
+    if bits == 32:
+        return STAR
+    return {
+        name: replace(t, columns=tuple((c, "bigint" if c == "stade_id" else k) for c, k in t.columns))
+        for name, t in STAR.items()
+    }
+
+
+def build_star(
+    silver: dict[str, DataFrame], bits: int = 32, one_per_match: bool = False
+) -> dict[str, DataFrame]:
     """All dimensions and facts, in loading order; nothing runs yet."""
     matches = (silver["matchs_joues"], silver["matchs_non_joues"])
     built = {
         "dim_equipe": projection_of(DIM_EQUIPE, silver["equipes"]),
         "dim_joueur": projection_of(DIM_JOUEUR, silver["joueurs"]),
-        "dim_stade": dim_venue(*matches),
+        "dim_stade": dim_venue(*matches, bits=bits),
         "dim_date": dim_calendar(*matches),
-        "fact_match": fact_match(*matches),
+        "fact_match": fact_match(*matches, one_per_match=one_per_match, bits=bits),
         "fact_buteur": projection_of(FACT_BUTEUR, silver["buteurs"]),
         "fact_classement": projection_of(FACT_CLASSEMENT, silver["classement_group_stage"]),
     }

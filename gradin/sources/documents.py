@@ -36,9 +36,34 @@ MATCHES = (
 )
 
 
-def read_documents(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
-    """Documents from JSON lines files; no pass over the data to infer a schema."""
-    return spark.read.schema(schema).json(paths)
+CORRUPT = "_corrupt_record"
+
+
+def read_documents(
+    spark: SparkSession, paths: str | list[str], schema: str, rejects: str | None = None
+) -> DataFrame:
+    """Documents from JSON lines files; no pass over the data to infer a schema.
+
+    A line that is no whole document, cut off or one of several of an indented one, fails the
+    read; with `rejects` such lines are written there (file, record) and left out.
+    """
+    reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT)
+    if rejects is None:
+        return reader.schema(schema).option("mode", "FAILFAST").json(paths)
+    lines = reader.schema(f"{schema}, {CORRUPT} string").json(paths)
+    bad = lines.where(F.col(CORRUPT).isNotNull())
+    # Spark wants another column read beside the record
+    other = F.to_json(F.struct(lines.columns[0]))
+    bad.select(
+        F.col("_metadata.file_path").alias("file"), F.coalesce(F.col(CORRUPT), other).alias("record")
+    ).write.mode("append").parquet(rejects)
+    return reader.schema(schema).option("mode", "DROPMALFORMED").json(paths)
+
+
+def rejected_documents(df: DataFrame, text: Column, schema: str) -> DataFrame:
+    """(record): the texts that are no whole document. NULL is none."""
+    parsed = F.from_json(text, f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    return df.select(text.alias("record"), parsed[CORRUPT].alias("bad")).where("bad IS NOT NULL").select("record")
 
 
 def parse_documents(df: DataFrame, text: Column, schema: str) -> DataFrame:

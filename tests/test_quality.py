@@ -107,14 +107,8 @@ def test_repair_cascades_and_sets_null(frames):
     assert repaired(repair.repair(TABLE, frames)) == REPAIRED
 
 
-def test_repair_beyond_the_broadcast_bound(frames, monkeypatch):
-    monkeypatch.setattr(repair, "broadcast_if_small", lambda df: df)
-    assert repaired(repair.repair(TABLE, frames)) == REPAIRED
-
-
-def test_a_hot_key_is_split_beyond_the_broadcast_bound(spark, monkeypatch):
+def test_a_hot_key_is_split_where_a_broadcast_is_too_large(spark):
     """Without a broadcast, adaptive execution splits the partition of the hot key."""
-    monkeypatch.setattr(repair, "broadcast_if_small", lambda df: df)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -141,13 +135,25 @@ def test_a_hot_key_is_split_beyond_the_broadcast_bound(spark, monkeypatch):
     assert len(rows) == sum(1 for i in range(300000) if i % 3 and i % 2 == 0)
 
 
-def test_broadcast_only_when_counted_and_of_fixed_width(spark):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(repair.broadcast_if_small(spark.range(5), 5))
-    assert not hinted(repair.broadcast_if_small(spark.range(6), 5))
-    assert not hinted(repair.broadcast_if_small(spark.createDataFrame([("a",)], "s string"), 5))
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_beyond_the_parents_type_are_orphans(spark, tmp_path, ansi):
+    """4294967297 would be 1 as an INT."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        child = spark.createDataFrame([(1, 1), (2, 4294967297), (3, None)], "k long, fk long")
+        parent = spark.createDataFrame([(1,), (2,)], "pk int")
+        keys = [ForeignKey("fk", "parent", "pk", "set null")]
+        found = quality.check_foreign_keys(child, "child", keys, parent).collect()
+        assert [(r.key, r.rows) for r in found] == [("4294967297", 1)]
+        scratch = str(tmp_path / "scratch")
+        nulled = repair.orphans_set_null(child, keys, parent, scratch).collect()
+        assert {(r.k, r.fk) for r in nulled} == {(1, 1), (2, None), (3, None)}
+        left = repair.orphans_cascade(child, keys, parent, scratch).collect()
+        assert {r.k for r in left} == {1, 3}
+        assert len(list((tmp_path / "scratch").iterdir())) == 2
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_defaults_fill_columns_that_are_left_out(spark):

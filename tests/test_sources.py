@@ -34,10 +34,38 @@ def test_a_wrong_header_is_an_error(spark, tmp_path):
         landing.read_raw_csv(spark, str(tmp_path), ["id", "nom"]).collect()
 
 
-def test_short_and_long_rows(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("id,nom\n1\n2,b,extra\n")
-    df = landing.read_raw_csv(spark, str(tmp_path), ["id", "nom"])
-    assert values(df) == [("1", None), ("2", "b")]
+def test_short_and_long_rows_are_rejected(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,nom\n1\n2,b,extra\n3,c\n")
+    assert values(landing.read_raw_csv(spark, str(tmp_path), ["id", "nom"])) == [("3", "c")]
+    bad = landing.rejected_rows(spark, str(tmp_path), ["id", "nom"])
+    assert sorted(r.record for r in bad.collect()) == ["1", "2,b,extra"]
+    assert bad.first().file.endswith("a.csv")
+
+
+@pytest.mark.parametrize("text", ["a\nb", "\r\n", "\\n", "\\\\r\n", "x\\", "\\\\", "n\\\nr", "c:\\new"])
+def test_line_breaks_survive_a_round_trip(spark, tmp_path, text):
+    path = str(tmp_path / "out")
+    landing.write_csv(spark.createDataFrame([(text, "z")], "a string, b string"), path, ["a", "b"])
+    assert values(landing.read_raw_csv(spark, path, ["a", "b"])) == [(text, "z")]
+    assert values(landing.read_raw_csv(spark, path)) == [(text, "z")]
+
+
+def test_groups_that_look_like_numbers_stay_texts(spark, tmp_path):
+    df = spark.createDataFrame([("007", "a"), ("1e2", "b")], "g string, v string")
+    landing.write_csv_per_group(df, str(tmp_path / "out"), ["v"], "g")
+    back = landing.read_raw_csv(spark, str(tmp_path / "out"), ["v"], folder="g_folder")
+    assert values(back) == [("a", "007"), ("b", "1e2")]
+
+
+def test_damaged_documents_fail_or_are_rejected(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/d.json").write_text('{"teams": [{"id": 1}]}\n{"teams": [{"id"\n{\n"teams": []\n}\n')
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        documents.read_documents(spark, str(tmp_path / "in"), documents.TEAMS).collect()
+    rejects = str(tmp_path / "rejects")
+    docs = documents.read_documents(spark, str(tmp_path / "in"), documents.TEAMS, rejects)
+    assert [d.teams[0].id for d in docs.collect()] == ["1"]
+    assert spark.read.parquet(rejects).count() == 4
 
 
 def test_texts_survive_a_round_trip(spark, tmp_path):
