@@ -51,7 +51,7 @@ def _multipliers() -> np.ndarray:
 def minima(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The least value of each hash function over each text's shingles; all texts have some."""
     out = np.empty((len(first) - 1, KEPT), np.uint32)
-    by = _multipliers()
+    by, plus = _multipliers(), _multipliers()[::-1]
     begin = 0
     while begin < len(out):
         end = int(np.searchsorted(first, first[begin] + _SHINGLES_AT_ONCE, "right")) - 1
@@ -60,6 +60,7 @@ def minima(x: np.ndarray, first: np.ndarray) -> np.ndarray:
         cuts = first[begin:end] - first[begin]
         for k in range(KEPT):
             moved = part * by[k]
+            moved += plus[k]
             moved ^= moved >> np.uint32(15)
             out[begin:end, k] = np.minimum.reduceat(moved, cuts)
         begin = end

@@ -32,7 +32,7 @@ FREE_STEP = 256
 AT_ONCE = 1 << 19
 END_ID = 2
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 _ALNUM, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123)):

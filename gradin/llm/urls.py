@@ -73,7 +73,7 @@ def _level(keys: DataFrame, level: int, bits: int) -> Column:
     def in_order(number: Column, value: str) -> Column:
         return F.transform(F.array_sort(F.collect_list(F.struct(number.alias("n"), F.col(value).alias("x")))), lambda e: e["x"])
 
-    chunks = words.groupBy(F.shiftright("w", 10).alias("c")).agg(in_order(F.col("w"), "b").alias("x"))
+    chunks = words.groupBy(F.floor(F.col("w") / CHUNK).alias("c")).agg(in_order(F.col("w"), "b").alias("x"))
     return chunks.agg(in_order(F.col("c"), "x").alias("bits")).scalar()
 
 
@@ -81,7 +81,7 @@ def _holds(value: Column, key: Column, level: int, bits: int) -> Column:
     found = F.lit(True)
     for at in _places(key, level, bits):
         word = F.shiftright(at, 6)
-        long = F.get(F.get(value, F.shiftright(word, 10).cast("int")), (word % CHUNK).cast("int"))
+        long = F.get(F.get(value, F.floor(word / CHUNK).cast("int")), (word % CHUNK).cast("int"))
         found &= F.getbit(long, (at % 64).cast("int")) == 1
     return found
 
