@@ -329,7 +329,7 @@ def _report_sql() -> str:
 
 def _written_star(spark, sf):
     """The star over written silver tables, as the layered run checks it."""
-    silver = write_layer(spark, scratch_path(spark, "layers"), "silver", silver_tables(spark, sf))
+    silver = write_layer(spark, scratch_path(spark, "layers"), "silver", silver_tables(spark, sf), "batch-1")
     return build_star(silver)
 
 
@@ -379,7 +379,7 @@ _SCORER_ORPHANS = {
 def _scorer_frames(spark, sf):
     sources = dict(zip(_SCORERS, ("equipes", "joueurs", "buteurs")))
     silver = {source: silver_of(spark, sf, source) for source in sources.values()}
-    written = write_layer(spark, scratch_path(spark, "layers"), "silver", silver)
+    written = write_layer(spark, scratch_path(spark, "layers"), "silver", silver, "batch-1")
     return {name: projection_of(STAR[name], written[source]) for name, source in sources.items()}
 
 
