@@ -2,15 +2,19 @@
 
 Each text gets the minima of 180 hash functions over its word shingles. Five minima make a
 band; texts that agree in one of 36 bands are candidates, so a pair at similarity 0.8 is missed
-with a probability below 1e-6. The low four bits of every minimum are packed, sixteen to a long:
-the number of differing ones estimates the similarity, corrected for the one in sixteen that
-agree by chance, and pairs that are 4.5 standard deviations below the bound are dropped. What is
-left is confirmed on the full shingle sets.
-
-Equal shingle sets are one node. In a bucket every node is compared with one of them, the least
-by a hash; nodes that this leaves in different components are then compared with each other, the
-likely pairs first. So a bucket of thousands of near copies does not become all its pairs, and
-no link between different components is left untested.
+with a probability below 1e-6. The low four bits of every minimum are packed, each bit in a plane
+of its own: the number of differing minima estimates the similarity, corrected for the one in
+sixteen that agree by chance, and pairs that are 4.5 standard deviations below the bound are
+dropped. Beside them stand the parities of the shingles' numbers in 1,024 cells. Every cell in
+which two texts differ holds a shingle that only one of them has, so the count of such cells is a
+lower bound of the sets' difference, and pairs beyond the difference that the similarity allows
+are dropped without any loss. What is left is confirmed on the full shingle sets.
+
+Equal shingle sets are one node. In a bucket every node is compared with one of them, the pivot:
+the one that shares its buckets with most others, mostly the text that the others are copies of.
+Nodes that this leaves in different components are then compared with each other. So a bucket of
+thousands of near copies does not become all its pairs, and no link between different components
+is left untested.
 """
 
 from __future__ import annotations
@@ -28,7 +32,10 @@ from gradin.llm.hashing import LOWER, Texts, mixed, pieces, shingles, span_hashe
 
 BANDS, ROWS, BITS = 36, 5, 4
 KEPT = BANDS * ROWS
-LONGS = -(-KEPT * BITS // 64)
+#: Longs of a plane, of all planes, and of the parities.
+PLANE = -(-KEPT // 64)
+LOW = BITS * PLANE
+PARITY = 16
 SPREAD = 4.5
 _SHINGLES_AT_ONCE = 1 << 17
 
@@ -68,12 +75,19 @@ def minima(x: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def packed(least: np.ndarray) -> np.ndarray:
-    """The low bits of the minima, 64 / BITS to a long."""
-    per = 64 // BITS
-    low = np.zeros((len(least), LONGS * per), np.uint64)
-    low[:, :KEPT] = least & np.uint32((1 << BITS) - 1)
-    shifts = np.arange(per, dtype=np.uint64) * np.uint64(BITS)
-    return (low.reshape(len(least), LONGS, per) << shifts).sum(axis=2, dtype=np.uint64)
+    """The low bits of the minima: BITS planes of a bit from each minimum, a plane after the other."""
+    bits = np.zeros((len(least), BITS, PLANE * 64), np.uint8)
+    for k in range(BITS):
+        bits[:, k, :KEPT] = (least >> np.uint32(k)) & np.uint32(1)
+    return np.packbits(bits.reshape(len(least), -1), axis=1).view(np.uint64)
+
+
+def parities(distinct: np.ndarray) -> np.ndarray:
+    """Whether each of 64 * PARITY cells holds an odd number of the shingles, a bit to a cell."""
+    out = np.zeros(PARITY, np.uint64)
+    cell = distinct & np.uint64(64 * PARITY - 1)
+    np.bitwise_xor.at(out, (cell >> np.uint64(6)).astype(np.int64), np.uint64(1) << (cell & np.uint64(63)))
+    return out
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
@@ -85,7 +99,8 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 SIGNED = (
-    "doc_id bigint, n_shingles bigint, t bigint, node bigint, bands array<bigint>, low array<bigint>"
+    "doc_id bigint, n_shingles bigint, t bigint, node bigint, "
+    "bands array<bigint>, low array<bigint>, parity array<bigint>"
 )
 
 
@@ -96,15 +111,17 @@ def _signed(shingle_words: int):
                 x, first = _text_shingles(texts, shingle_words)
                 n = np.zeros(len(texts), np.int64)
                 node = np.zeros(len(texts), np.uint64)
+                parity = np.zeros((len(texts), PARITY), np.uint64)
                 for i in range(len(texts)):
                     own = _distinct(x[first[i] : first[i + 1]])
                     n[i] = len(own)
                     node[i] = mixed(own + np.uint64(len(own))).sum(dtype=np.uint64)
+                    parity[i] = parities(own)
                 has = n > 0
                 ends = np.concatenate([[0], np.cumsum(np.diff(first)[has])])
                 least = minima(x, ends) if has.any() else np.empty((0, KEPT), np.uint32)
                 bands = np.zeros((len(texts), BANDS), np.uint64)
-                low = np.zeros((len(texts), LONGS), np.uint64)
+                low = np.zeros((len(texts), LOW), np.uint64)
                 bands[has], low[has] = band_keys(least), packed(least)
                 rows = batch.slice(begin, len(texts))
 
@@ -120,23 +137,52 @@ def _signed(shingle_words: int):
                         pa.array(node.view(np.int64), mask=~has),
                         lists(bands),
                         lists(low),
+                        lists(parity),
                     ],
-                    ["doc_id", "n_shingles", "t", "node", "bands", "low"],
+                    ["doc_id", "n_shingles", "t", "node", "bands", "low", "parity"],
                 )
 
     return run
 
 
-def _estimate(a: str, b: str) -> Column:
-    """Similarity from the packed low bits of two texts."""
-    ones = sum(1 << (i * BITS) for i in range(64 // BITS))
+def _sketch(side: str = "") -> list[Column]:
+    """The node's size, low bits and parities as plain columns, named for one side of a pair."""
+    return [
+        F.col("n").alias(f"n{side}"),
+        *[F.col("low")[k].alias(f"low{k}{side}") for k in range(LOW)],
+        *[F.col("parity")[k].alias(f"parity{k}{side}") for k in range(PARITY)],
+    ]
+
+
+def _xor(column: str) -> Column:
+    return F.col(f"{column}_a").bitwiseXOR(F.col(f"{column}_b"))
+
+
+def _differing_minima() -> Column:
     differ = F.lit(0)
-    for k in range(LONGS):
-        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
-        for step in (2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(ones)))
-    return 1 - differ / F.lit(KEPT * (1 - 0.5**BITS))
+    for k in range(PLANE):
+        x = _xor(f"low{k}")
+        for plane in range(1, BITS):
+            x = x.bitwiseOR(_xor(f"low{k + plane * PLANE}"))
+        differ = differ + F.bit_count(x)
+    return differ
+
+
+def _differing_cells() -> Column:
+    return sum((F.bit_count(_xor(f"parity{k}")) for k in range(PARITY)), F.lit(0))
+
+
+def _likely(percent: int) -> Column:
+    """Whether the sketches of a and b allow for that similarity."""
+    bound, chance = percent / 100, 0.5**BITS
+    agree = bound + (1 - bound) * chance
+    deviation = (agree * (1 - agree) / KEPT) ** 0.5 / (1 - chance)
+    most = KEPT * (1 - chance) * (1 - bound + SPREAD * deviation)
+    return (
+        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+        & (_differing_cells() * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+        & (_differing_minima() <= most)
+    )
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -189,27 +235,22 @@ def near_duplicates(
             F.min("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
             F.first("low").alias("low"),
+            F.first("parity").alias("parity"),
         ),
         "nodes",
     )
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    # the pivot of a bucket is its least node by a hash: mostly the same one in all bands
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = written(banded.join(sizes, "bucket"), "shared")
+    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     pivots = (
-        banded.groupBy("bucket")
-        .agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("p"), F.max("node").alias("u"), F.min("node").alias("v"))
-        .where("u <> v")
+        shared.join(weights, "node")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("weight", F.xxhash64("node").alias("h"), "node")).alias("p"))
         .select("bucket", F.col("p.node").alias("pivot"))
     )
-    members = written(banded.join(pivots, "bucket"), "members")
-    own = nodes.select("node", "n", "low")
-    a, b = (own.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("low").alias(f"low_{x}")) for x in "ab")
-    bound = percent / 100
-    chance = 0.5**BITS
-    agree = bound + (1 - bound) * chance
-    deviation = (agree * (1 - agree) / KEPT) ** 0.5 / (1 - chance)
-    likely = (_estimate("low_a", "low_b") >= bound - SPREAD * deviation) & (
-        F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    )
+    members = written(shared.select("bucket", "node").join(pivots, "bucket"), "members")
+    likely = _likely(percent)
     wanted = members.select("node").distinct()
     texts = written(
         keyed.select("t", "text")
@@ -219,32 +260,37 @@ def near_duplicates(
         "texts",
     )
     stars = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    stars = stars.join(a, "a").join(b, "b").where(likely).select("a", "b")
-    links = written(_confirmed(stars, texts, shingle_words, percent), "links")
-    # then what is still apart within a bucket: first the pairs that are probably links
-    for floor in (bound, None):
-        roots = components(links)
-        labelled = members.join(roots, "node", "left").join(own, "node")
-        labelled = labelled.select("bucket", "pivot", "node", F.coalesce("root", "node").alias("root"), "n", "low")
-        apart = labelled.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s")
+    for x in "ab":
+        stars = stars.join(nodes.select(F.col("node").alias(x), *_sketch(f"_{x}")), x)
+    links = _confirmed(stars.where(likely).select("a", "b"), texts, shingle_words, percent)
+    roots = components(links)
+    # then what is still apart within a bucket
+    labelled = members.join(roots, "node", "left").select("bucket", "pivot", "node", F.coalesce("root", "node").alias("root"))
+    apart = labelled.groupBy("bucket").agg(
+        F.min("root").alias("r"),
+        F.max("root").alias("s"),
         # most of a bucket is in its pivot's component: only the others are compared with all
-        main = labelled.where("node = pivot").select("bucket", F.col("root").alias("main"))
-        labelled = written(labelled.join(apart.select("bucket"), "bucket").join(main, "bucket"), "labelled")
-        minor = labelled.where("root <> main")
-        x = minor.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "n", "low")])
-        y = labelled.select("bucket", "main", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", "low")])
-        # two minor nodes meet once
-        pairs = x.join(
-            y,
-            (x["bucket"] == y["bucket"])
-            & (F.col("root_a") != F.col("root_b"))
-            & ((F.col("root_b") == F.col("main")) | (F.col("node_a") < F.col("node_b")))
-            & likely
-            & (F.lit(True) if floor is None else _estimate("low_a", "low_b") >= floor),
-        )
-        pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-        links = written(links.unionByName(_confirmed(pairs, texts, shingle_words, percent)), "links")
-    found = nodes.select("node", "least").join(components(links), "node", "left")
+        F.max(F.when(F.col("node") == F.col("pivot"), F.col("root"))).alias("main"),
+    )
+    apart = apart.where("r <> s").select("bucket", "main")
+    labelled = labelled.join(apart, "bucket").select("bucket", "main", "node", "root")
+    labelled = written(labelled.join(nodes.select("node", *_sketch()), "node"), "labelled")
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns])
+
+    # two minor nodes meet once
+    pairs = side(labelled.where("root <> main"), "a").join(
+        side(labelled, "b"),
+        (F.col("bucket_a") == F.col("bucket_b"))
+        & (F.col("root_a") != F.col("root_b"))
+        & ((F.col("root_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b")))
+        & likely,
+    )
+    pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    later = _confirmed(pairs, texts, shingle_words, percent)
+    roots = components(roots.toDF("a", "b").unionByName(later))
+    found = nodes.select("node", "least").join(roots, "node", "left")
     found = found.withColumn("root", F.coalesce("root", "node"))
     named = found.groupBy("root").agg(F.min("least").alias("component_id"))
     named = found.join(named, "root").select("node", "component_id")

@@ -73,16 +73,25 @@ def test_near_duplicates_of_nothing(spark):
     assert neardup.near_duplicates(docs_of(spark, [])).count() == 0
 
 
-def test_estimate_is_near_the_similarity(spark):
-    """b-bit agreement, corrected for chance."""
+def test_sketches_tell_the_difference(spark):
+    """Differing minima estimate the similarity; differing cells never exceed the difference."""
     x = np.arange(1000, dtype=np.uint64)
     from gradin.llm.hashing import mixed
 
     sets = [mixed(x[:800]), mixed(x[80:880])]
     least = neardup.minima(np.concatenate(sets), np.array([0, 800, 1600]))
-    low = [[int(v) for v in row.view(np.int64)] for row in neardup.packed(least)]
-    row = spark.createDataFrame([tuple(low)], "a array<bigint>, b array<bigint>")
-    assert abs(row.select(neardup._estimate("a", "b").alias("s")).first().s - 720 / 880) < 0.12
+    schema = "n bigint, low array<bigint>, parity array<bigint>"
+    sides = []
+    for own, bits, side in zip(sets, neardup.packed(least), ("_a", "_b"), strict=True):
+        lists = [[int(v) for v in row.view(np.int64)] for row in (bits, neardup.parities(own))]
+        sides.append(spark.createDataFrame([(len(own), *lists)], schema).select(*neardup._sketch(side)))
+    differ = [neardup._differing_minima().alias("minima"), neardup._differing_cells().alias("cells")]
+    row = sides[0].join(sides[1], F.lit(True)).select(*differ, neardup._likely(80).alias("likely")).first()
+    agreed = 1 - row.minima / (neardup.KEPT * (1 - 0.5**neardup.BITS))
+    assert abs(agreed - 720 / 880) < 0.12
+    assert row.minima == sum((least[0] & 15) != (least[1] & 15))
+    assert 100 < row.cells <= 160
+    assert row.likely
 
 
 def test_components(spark):
