@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in pieces of about so many bytes; a longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 BLANK = np.zeros(256, bool)

@@ -31,8 +31,9 @@ FREE_STEP = 256
 #: tokens that follow.
 AT_ONCE = 1 << 19
 END_ID = 2
-#: Distinct words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Distinct words whose ids a task remembers, and how many are encoded at a time.
+REMEMBERED = 200_000
+ENCODED_AT_ONCE = 4096
 
 _ALNUM, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123)):
@@ -60,10 +61,12 @@ class Tokens:
         self.sentence_end[[i for token, i in vocabulary.items() if ends.fullmatch(token)]] = True
 
     def _encoded(self, words: list[bytes]) -> list[bytes]:
-        return [
-            np.array(e.ids, "<u4").tobytes()
-            for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        ]
+        out: list[bytes] = []
+        for begin in range(0, len(words), ENCODED_AT_ONCE):
+            part = [w.decode() for w in words[begin : begin + ENCODED_AT_ONCE]]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in found]
+        return out
 
     def of(self, texts: Texts) -> list[np.ndarray]:
         words = texts.words()
@@ -235,11 +238,13 @@ def pack(
 
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for begin, texts in pieces(batch.column("text"), 4 << 20):
+            for begin, texts in pieces(batch.column("text"), 1 << 20):
                 for i, ids in enumerate(own.of(texts)):
                     if out := list(packer.add(doc_ids[begin + i], np.append(ids, np.uint32(end_id)))):
                         yield batch_of(out)
         if out := list(packer.flush(True)):
             yield batch_of(out)
+        # the worker runs other tasks next, also of other operators
+        own.known.clear()
 
     return rows.select("doc_id", "text").mapInArrow(run, PIECE)
