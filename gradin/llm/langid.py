@@ -167,9 +167,9 @@ def _scored(model: Model, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """The rows with `lang_pred` and `score` appended, over the whole text of each.
 
-    A text without a letter, an empty one and a null are `und` with score 0, as is every
-    text when there was nothing to learn from. Equal texts get equal results, and no other
-    column is read. Columns already called `lang_pred` or `score` are replaced.
+    A text without a letter, an empty one and a null are `und` with score 0. When there was
+    nothing to learn from, a text with a letter is `und` without a score: no language was looked
+    for. Equal texts get equal results, and no other column is read. Columns already called `lang_pred` or `score` are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
@@ -184,13 +184,14 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
             letters = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             codes = np.full(len(column), UNKNOWN, object)
             scores = np.zeros(len(column))
+            unjudged = letters if known is None else np.zeros(len(column), bool)
             if known is not None:
                 for begin, texts in pieces(pc.utf8_lower(column)):
                     best, p = _scored(known, texts)
                     own = slice(begin, begin + len(texts))
                     codes[own] = np.where(letters[own], np.array(known.languages, object)[best], UNKNOWN)
                     scores[own] = np.where(letters[own], p, 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.string()), pa.array(scores)], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.string()), pa.array(scores, mask=unjudged)], names)
 
     fields = T.StructType(list(schema.fields)).add("lang_pred", "string").add("score", "double")
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, fields)

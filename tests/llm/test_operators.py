@@ -396,3 +396,17 @@ def test_stages_take_odd_documents(spark, tmp_path):
     assert {r.text for r in language.collect()} == {t for t in TEXTS if re.search(r"[^\W\d_]", t or "")}
     kept = spark.read.parquet(f"{tmp_path}/near_duplicates-{odd.count()}")
     assert kept.where("text = 'one'").count() == 1
+
+
+@pytest.mark.parametrize("labelled", [[], [None]])
+def test_the_language_stage_without_a_model_rejects_only_texts_without_a_letter(spark, labelled):
+    """Labels are null throughout, or stand on a null text alone."""
+    docs = docs_of(spark, TEXTS).withColumn("lang", F.lit(None).cast("string"))
+    docs = docs.unionByName(docs_of(spark, labelled).withColumn("doc_id", F.lit(99).cast("bigint")))
+    assert langid.fit(langid.learnable(docs)) is None
+    found = langid.identify(docs, None).collect()
+    letters = {t for t in TEXTS if re.search(r"[^\W\d_]", t or "")}
+    assert all(r.lang_pred == "und" and r.score == (None if r.text in letters else 0) for r in found)
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.text for r in kept.collect()) == sorted(t for t in TEXTS if t in letters)
