@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradin.session import scratch_path
+
 # Leaves are read as text: ids keep every digit and the landing tables are text anyway.
 TEAMS = (
     "teams array<struct<id string, name string, shortName string, tla string,"
@@ -45,19 +47,20 @@ def read_documents(
     """Documents from JSON lines files; no pass over the data to infer a schema.
 
     A line that is no whole document, cut off or one of several of an indented one, fails the
-    read; with `rejects` such lines are written there (file, record) and left out.
+    read; with `rejects` such lines are written there (file, record) and left out. These lines
+    are parsed once, with all fields, into a scratch table that is then split: a read that needs
+    fewer fields does not see damage in the others.
     """
     reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT)
     if rejects is None:
         return reader.schema(schema).option("mode", "FAILFAST").json(paths)
     lines = reader.schema(f"{schema}, {CORRUPT} string").json(paths)
-    bad = lines.where(F.col(CORRUPT).isNotNull())
-    # Spark wants another column read beside the record
-    other = F.to_json(F.struct(lines.columns[0]))
-    bad.select(
-        F.col("_metadata.file_path").alias("file"), F.coalesce(F.col(CORRUPT), other).alias("record")
-    ).write.mode("append").parquet(rejects)
-    return reader.schema(schema).option("mode", "DROPMALFORMED").json(paths)
+    path = scratch_path(spark, "documents")
+    lines.withColumn("_file", F.col("_metadata.file_path")).write.parquet(path)
+    parsed = spark.read.parquet(path)
+    bad = parsed.where(F.col(CORRUPT).isNotNull())
+    bad.select(F.col("_file").alias("file"), F.col(CORRUPT).alias("record")).write.mode("append").parquet(rejects)
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")
 
 
 def rejected_documents(df: DataFrame, text: Column, schema: str) -> DataFrame:

@@ -68,6 +68,21 @@ def test_damaged_documents_fail_or_are_rejected(spark, tmp_path):
     assert spark.read.parquet(rejects).count() == 4
 
 
+def test_damage_in_a_later_field_is_rejected(spark, tmp_path):
+    """Each line is a document or rejected, whichever fields are asked for."""
+    good = '{"id": "1", "name": "a", "squad": [{"id": 5}]}'
+    bad = ['{"id":"2","name":"b","squad":"none listed"}', '{"id":"3","name":"c","squad":[{"id":"6"},7]}']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/d.json").write_text("\n".join([good, *bad]) + "\n")
+    rejects = str(tmp_path / "rejects")
+    docs = documents.read_documents(spark, str(tmp_path / "in"), documents.SQUAD, rejects)
+    assert docs.columns == ["id", "name", "squad"]
+    assert [(d.id, d.squad[0].id) for d in docs.collect()] == [("1", "5")]
+    assert [d.id for d in docs.select("id").collect()] == ["1"] and docs.count() == 1
+    found = spark.read.parquet(rejects).collect()
+    assert sorted(r.record for r in found) == sorted(bad) and all(r.file.endswith("d.json") for r in found)
+
+
 def test_texts_survive_a_round_trip(spark, tmp_path):
     path = str(tmp_path / "out")
     texts = [(" padded ", 'say "x", y'), ("\ttab", "back\\slash"), ("", None)]
