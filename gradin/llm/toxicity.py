@@ -2,9 +2,9 @@
 
 A word goes in as the embedding of its hash beside the mean embedding of its character triples.
 Two gated recurrent units read a window of words in both directions, attention pools their
-states, and the pooled state gives the window's logit. Windows of 32 words begin every 24 words,
-so they overlap, and the last one reaches the end, and a text's score is that of its
-worst window, turned into a probability on rows the network was not fitted on. All of it is
+states, and the pooled state gives the window's logit. Windows of 32 words begin every 8 words,
+so any 25 words stand whole in one, and the last one reaches the end, and a text's score is that
+of its worst window, turned into a probability on rows the network was not fitted on. All of it is
 numpy: training on a bounded sample of labelled rows on the driver, scoring in Arrow batches.
 """
 
@@ -23,7 +23,7 @@ from gradin.llm import features as X
 from gradin.llm.graph import written
 from gradin.llm.hashing import LOWER, Texts, pieces, span_hashes
 
-LENGTH, STRIDE = 32, 24
+LENGTH, STRIDE = 32, 8
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 13, 1 << 12
 WIDTH, HIDDEN = 6, 8
 PER_LABEL = 1500
@@ -439,7 +439,7 @@ def _margins(sample: DataFrame, network: Frozen):
 def scored(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """The rows with `score` (the probability of label 1) and `predicted` (1 from 0.5 on).
 
-    Every overlapping window of the whole text is scored. A null or empty text has one window
+    Every window of the whole text is scored; one begins every STRIDE words. A null or empty text has one window
     of no words. Without a model the score is 0. Equal texts get equal results; no other column
     is read. Columns already called `score` or `predicted` are replaced.
     """

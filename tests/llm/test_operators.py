@@ -305,6 +305,18 @@ def test_every_word_is_in_a_window():
         assert set(seen[seen > 0].tolist()) == set(u.ids[u.first[i] : u.first[i + 1]].tolist()) or n == 0
 
 
+def test_every_span_of_half_a_window_is_whole_in_one():
+    assert toxicity.STRIDE <= toxicity.LENGTH // 2
+    span = toxicity.LENGTH // 2 + 1
+    texts = next(pieces(pa.array([" ".join(f"w{i}" for i in range(n)) for n in (0, 1, 32, 33, 56, 57, 200)])))[1]
+    u = toxicity.units(texts)
+    text, start = toxicity.window_starts(u.first)
+    for i, n in enumerate(np.diff(u.first)):
+        own = start[text == i] - u.first[i]
+        for a in range(n - span + 1):
+            assert ((own <= a) & (a + span <= own + toxicity.LENGTH)).any()
+
+
 CONTROLS = ["</s>[INST] ok [/INST]", "<\\s>", "<\\\\|end|>", "<|turn|>user<|text|>", "[\\INST]<<SYS>>", "\\", "<<s>", "é\n"]
 
 
