@@ -79,7 +79,7 @@ def packed(least: np.ndarray) -> np.ndarray:
     bits = np.zeros((len(least), BITS, PLANE * 64), np.uint8)
     for k in range(BITS):
         bits[:, k, :KEPT] = (least >> np.uint32(k)) & np.uint32(1)
-    return np.packbits(bits.reshape(len(least), -1), axis=1).view(np.uint64)
+    return np.packbits(bits.reshape(len(least), BITS * PLANE * 64), axis=1).view(np.uint64)
 
 
 def parities(distinct: np.ndarray) -> np.ndarray:
@@ -206,23 +206,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return sides.select("a", "b", "text_a", "text_b").mapInPandas(similar, "a bigint, b bigint")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    shingle_words: int = 5,
-    percent: int = 80,
-) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept, one row per input row.
-
-    Words are runs of non-blank characters with A-Z lower-cased. Two documents are linked if
-    the shared part of their shingle sets is at least `percent` of the union; a component's id
-    is its smallest doc_id. Fewer words than a shingle count as one shingle; documents without
-    words, empty ones and nulls have no shingle and are linked with nothing: their component is
-    their own doc_id. Repeated rows are copies of each other. A null doc_id never names a
-    component that has other ids; it is kept only where its component has none. Other columns
-    are not read.
-    """
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, t, node, ...) of every row, t being the text's hash, and (node, root, least)
+    of every node: its component's name and its least row (no_id, doc_id, t), null ids last."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     keyed = docs.withColumn("t", F.xxhash64("text"))
     signed = written(keyed.select("doc_id", "t", "text").mapInArrow(_signed(shingle_words), SIGNED), "signed")
@@ -230,7 +216,7 @@ def near_duplicates(
         signed.where("node IS NOT NULL")
         .groupBy("node")
         .agg(
-            F.min("doc_id").alias("least"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")).alias("least"),
             F.min("t").alias("t"),
             F.min("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
@@ -291,11 +277,43 @@ def near_duplicates(
     later = _confirmed(pairs, texts, shingle_words, percent)
     roots = components(roots.toDF("a", "b").unionByName(later))
     found = nodes.select("node", "least").join(roots, "node", "left")
-    found = found.withColumn("root", F.coalesce("root", "node"))
-    named = found.groupBy("root").agg(F.min("least").alias("component_id"))
+    return signed, found.withColumn("root", F.coalesce("root", "node"))
+
+
+def near_duplicates(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle_words: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept, one row per input row.
+
+    Words are runs of non-blank characters with A-Z lower-cased. Two documents are linked if
+    the shared part of their shingle sets is at least `percent` of the union; a component's id
+    is its smallest doc_id. Fewer words than a shingle count as one shingle; documents without
+    words, empty ones and nulls have no shingle and are linked with nothing: their component is
+    their own doc_id. Repeated rows are copies of each other. A null doc_id never names a
+    component that has other ids; it is kept only where its component has none. Other columns
+    are not read.
+    """
+    signed, found = _grouped(docs, doc_id, text, shingle_words, percent)
+    named = found.groupBy("root").agg(F.min("least").getField("doc_id").alias("component_id"))
     named = found.join(named, "root").select("node", "component_id")
     rows = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+
+
+def representatives(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 5, percent: int = 80
+) -> DataFrame:
+    """doc_id and t, the text's xxhash64: the least row of each component of near_duplicates.
+
+    Null ids come last. Documents without a shingle are linked with nothing: each is there.
+    """
+    signed, found = _grouped(docs, doc_id, text, shingle_words, percent)
+    least = found.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.t")
+    return least.unionByName(signed.where("node IS NULL").select("doc_id", "t").distinct())

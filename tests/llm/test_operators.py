@@ -422,3 +422,23 @@ def test_the_language_stage_without_a_model_rejects_only_texts_without_a_letter(
     kept = corpus_pipeline.language(spark, docs, "")
     assert kept.columns == docs.columns
     assert sorted(r.text for r in kept.collect()) == sorted(t for t in TEXTS if t in letters)
+
+
+def test_the_near_duplicate_stage_decides_by_row(spark):
+    """Ids that stand for two texts, and near copies without an id."""
+    words = [f"w{i}" for i in range(60)]
+    copy = lambda name, n: " ".join([f"{name}{w}" for w in words[: 60 - n]] + [f"x{i}" for i in range(n)])
+    rows = [
+        (1, copy("a", 0)), (2, copy("a", 1)), (2, copy("b", 0)),  # 2 is a near copy of 1, and unique
+        (3, copy("c", 0)), (3, copy("d", 0)), (4, copy("d", 1)),
+        (None, copy("e", 0)), (None, copy("e", 1)), (None, copy("e", 1)), (None, copy("a", 2)), (5, ""), (5, ""), (6, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("lang", F.lit("en"))
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    lone = min((copy("e", 0), copy("e", 1)), key=hashes.get)
+    expected = [
+        (1, copy("a", 0)), (2, copy("b", 0)), (3, copy("c", 0)), (3, copy("d", 0)), (None, lone), (5, ""), (6, None),
+    ]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(expected)
