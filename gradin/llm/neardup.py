@@ -2,10 +2,10 @@
 
 Each text gets the minima of 180 hash functions over its word shingles. Five minima make a
 band; texts that agree in one of 36 bands are candidates, so a pair at similarity 0.8 is missed
-with a probability below 1e-6. The low four bits of every minimum are packed, each bit in a plane
-of its own: the number of differing minima estimates the similarity, corrected for the one in
-sixteen that agree by chance, and pairs that are 4.5 standard deviations below the bound are
-dropped. Beside them stand the parities of the shingles' numbers in 1,024 cells. Every cell in
+with a probability of 6.2e-7. The low four bits of every minimum are packed, each bit in a plane
+of its own. One in sixteen of the minima that differ agrees in them by chance, so the number of
+differing ones is binomial, and pairs are dropped if a pair at the bound has as many with a
+probability below 1e-7: both losses together stay below 1e-6. Beside them stand the parities of the shingles' numbers in 1,024 cells. Every cell in
 which two texts differ holds a shingle that only one of them has, so the count of such cells is a
 lower bound of the sets' difference, and pairs beyond the difference that the similarity allows
 are dropped without any loss. What is left is confirmed on the full shingle sets.
@@ -19,6 +19,7 @@ is left untested.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,8 @@ KEPT = BANDS * ROWS
 PLANE = -(-KEPT // 64)
 LOW = BITS * PLANE
 PARITY = 16
-SPREAD = 4.5
+#: The probability with which the differing minima may drop a pair at the bound.
+LOSS = 1e-7
 _SHINGLES_AT_ONCE = 1 << 17
 
 
@@ -172,16 +174,22 @@ def _differing_cells() -> Column:
     return sum((F.bit_count(_xor(f"parity{k}")) for k in range(PARITY)), F.lit(0))
 
 
+def most_differing(percent: int) -> int:
+    """The least number of differing minima that a pair of that similarity exceeds with a
+    probability below LOSS."""
+    p = (1 - percent / 100) * (1 - 0.5**BITS)
+    beyond, most = 0.0, KEPT
+    while most and (beyond := beyond + math.comb(KEPT, most) * p**most * (1 - p) ** (KEPT - most)) < LOSS:
+        most -= 1
+    return most
+
+
 def _likely(percent: int) -> Column:
     """Whether the sketches of a and b allow for that similarity."""
-    bound, chance = percent / 100, 0.5**BITS
-    agree = bound + (1 - bound) * chance
-    deviation = (agree * (1 - agree) / KEPT) ** 0.5 / (1 - chance)
-    most = KEPT * (1 - chance) * (1 - bound + SPREAD * deviation)
     return (
         (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
         & (_differing_cells() * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
-        & (_differing_minima() <= most)
+        & (_differing_minima() <= most_differing(percent))
     )
 
 

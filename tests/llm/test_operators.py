@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -94,6 +95,23 @@ def test_sketches_tell_the_difference(spark):
     assert row.likely
 
 
+@pytest.mark.parametrize("percent", [50, 80, 95, 100])
+def test_sketches_drop_few_pairs_at_the_bound(spark, percent):
+    """Of the pairs whose similarity is the bound, by the binomial tail."""
+    p = (1 - percent / 100) * (1 - 0.5**neardup.BITS)
+    tail = lambda m: sum(math.comb(180, k) * p**k * (1 - p) ** (180 - k) for k in range(m + 1, 181))
+    most = max(m for m in range(181) if m == 0 or tail(m - 1) >= 1e-7)
+    planes = np.zeros((181, neardup.KEPT), np.uint32)
+    for m in range(181):
+        planes[m, :m] = 1
+    low = [[int(v) for v in row] for row in neardup.packed(planes).view(np.int64)]
+    schema = "m int, n bigint, low array<bigint>, parity array<bigint>"
+    rows = spark.createDataFrame([(m, 100, low[m], [0] * 16) for m in range(181)], schema)
+    one = rows.where("m = 0").select(*neardup._sketch("_a"))
+    found = one.join(rows.select("m", *neardup._sketch("_b")), F.lit(True)).where(neardup._likely(percent))
+    assert {r.m for r in found.select("m").collect()} == set(range(most + 1))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, j) for j in range(101, 130)] + [(7, 7), (200, 199)]
     got = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
