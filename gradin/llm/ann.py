@@ -3,7 +3,8 @@
 A bounded sample of the vectors gets its neighbour graph. The graph is split into parts of equal
 size with few edges between them, and a small network learns which parts a vector's neighbours
 are in. Every row is indexed in its most probable part. A query goes to its most probable parts,
-as many as the sample needed for the wished recall, and is compared there with every row.
+as many as the sample needed for the wished recall and on until they hold as many rows as are
+wanted, and is compared there with every row.
 """
 
 from __future__ import annotations
@@ -219,25 +220,38 @@ def search(
     router = fit(x, parts, k, wanted) if parts > 1 else None
     held = rows.sparkSession.sparkContext.broadcast(router)
 
-    def routed(most: bool):
+    def routed(sizes: np.ndarray | None):
+        """To the most probable part; with the parts' sizes, to as many as a query needs."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = held.value
             for batch in batches:
                 n = batch.num_rows
                 if own is None or not n:
-                    order = np.zeros((n, 1), np.int64)
+                    order, many = np.zeros((n, 1), np.int64), np.ones(n, np.int64)
                 else:
                     p = own.probabilities(np.array(batch.column("v").flatten()).reshape(n, -1))
-                    order = np.argsort(-p, axis=1, kind="stable")[:, : own.probes if most else 1]
-                lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * order.shape[1], order.ravel())
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["vec_id", "v", "parts"])
+                    order, many = np.argsort(-p, axis=1, kind="stable"), np.ones(n, np.int64)
+                    if sizes is not None:
+                        # rows with the query's id are no candidates
+                        wanted_rows = k + batch.column("own").to_numpy()[:, None]
+                        short = (np.cumsum(sizes[order], axis=1) < wanted_rows).sum(axis=1)
+                        many = np.minimum(np.maximum(own.probes, short + 1), order.shape[1])
+                ends = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(ends, order[np.arange(order.shape[1])[None, :] < many[:, None]])
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), lists], ["vec_id", "v", "parts"])
 
         return run
 
     kind = "vec_id bigint, v array<double>, parts array<bigint>"
-    index = rows.mapInArrow(routed(False), kind).select("vec_id", "v", F.col("parts")[0].alias("part"))
+    index = rows.mapInArrow(routed(None), kind).select("vec_id", "v", F.col("parts")[0].alias("part"))
     index = written(index, "index")
-    asked = rows.where(query(F.col("vec_id"))).mapInArrow(routed(True), kind)
+    sizes = np.zeros(parts, np.int64)
+    for r in index.groupBy("part").count().collect():  # at most MOST_PARTS rows
+        sizes[r["part"]] = r["count"]
+    queries = rows.where(query(F.col("vec_id")))
+    queries = queries.join(queries.groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id").select("vec_id", "v", "own")
+    asked = queries.mapInArrow(routed(sizes), kind)
     asked = written(asked.select("vec_id", "v", F.explode("parts").alias("part")), "asked")
     # a part meets its queries in a grid of blocks, both of bounded size
     blocks = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).alias("c")).join(

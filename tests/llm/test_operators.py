@@ -236,6 +236,24 @@ def test_nearest_neighbours_match_brute_force(spark):
     assert ann.search(table.limit(0), lambda i: i > 0).count() == 0
 
 
+def test_queries_get_k_neighbours_beside_many_equal_vectors(spark, monkeypatch):
+    """A third of the vectors are equal: they teach many parts and fill one."""
+    monkeypatch.setattr(ann, "PART_SCALE", 1)
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(1500, 8))
+    x[::3] = x[0]
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(20, [float(v) for v in x[1]])] * 30
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    router = ann.fit
+    def few(*given):
+        out = router(*given)
+        out.probes = 1
+        return out
+    monkeypatch.setattr(ann, "fit", few)
+    found = ann.search(table, lambda i: F.pmod(i, F.lit(5)) == 0, k=60).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in found} == {i: 60 for i in range(0, 1500, 5)}
+
+
 def test_mix_meets_its_targets(spark):
     draw = np.random.default_rng(4)
     rows = [
