@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradin.llm import ann, chat, langid, mixing, neardup, packing, quality, toxicity, urls, warc
+from gradin.llm import ann, chat, langid, merkle, mixing, neardup, packing, quality, toxicity, urls, warc
 from gradin.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +184,87 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Levels that the SQL side of the manifest unrolls: enough for two million rows of a language.
+LEVELS = 7
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text: each character, then eight shifts."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, 3988292384 * (s & 1)) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda s, x: {step}), 4294967295)"
+
+
+def _manifest_sql() -> str:
+    def leaf(text: str) -> str:
+        fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+        parts = [f"CASE WHEN {f} IS NULL THEN '-' ELSE octet_length(encode({f})) || ':' || {f} END" for f in fields]
+        return f"sha256({' || '.join(parts)})"
+
+    def level(k: int, group: str) -> str:
+        """Siblings of each node of table l{k}, and table l{k + 1} of the nodes above."""
+        run = f"PARTITION BY {group}, pos // 8 ORDER BY pos ROWS BETWEEN"
+        return f"""
+        s{k} AS (SELECT *, coalesce(string_agg(node, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+            coalesce(string_agg(node, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r,
+            count(*) OVER (PARTITION BY {group}) AS n FROM l{k}),
+        l{k + 1} AS (SELECT {group}, pos // 8 AS pos,
+            CASE WHEN any_value(n) = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node
+            FROM s{k} GROUP BY {group}, pos // 8)"""
+
+    def climb(first: int, group: str, rows: str) -> str:
+        """Each row with its siblings joined (`sib`) and its digest folded up (`acc`)."""
+        sib = " || ".join(["sib", *[f"s{k}.l || s{k}.r" for k in range(first, first + LEVELS)]])
+        joins = " ".join(
+            f"JOIN s{k} ON s{k}.{group} IS NOT DISTINCT FROM d.{group} AND s{k}.pos = d.pos // {8 ** (k - first)}"
+            for k in range(first, first + LEVELS)
+        )
+        acc = "acc"
+        for k in range(first, first + LEVELS):
+            acc = f"(SELECT CASE WHEN s{k}.n = 1 THEN a ELSE sha256(s{k}.l || a || s{k}.r) END FROM (SELECT {acc} AS a))"
+        return f"SELECT d.* EXCLUDE (acc, sib), {sib} AS sib, {acc} AS acc FROM {rows} d {joins}"
+
+    lower = f"CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 3 = 0 THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END"
+    low = ", ".join(level(k, "lang") for k in range(LEVELS))
+    high = ", ".join(level(k, "one") for k in range(LEVELS + 1, 2 * LEVELS + 1))
+    return f"""
+    WITH d0 AS (SELECT doc_id, lang, {leaf("text")} AS leaf, {leaf(f"({lower})")} AS acc, '' AS sib FROM documents),
+    d AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d0),
+    l0 AS (SELECT lang, pos, leaf AS node FROM d), {low},
+    l{LEVELS + 1} AS (SELECT 1 AS one, lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, node FROM l{LEVELS}),
+    {high},
+    up AS ({climb(0, "lang", "d")}),
+    up2 AS (SELECT up.* REPLACE (t.pos AS pos), 1 AS one, t.node AS subroot FROM up
+        JOIN l{LEVELS + 1} t ON t.lang IS NOT DISTINCT FROM up.lang),
+    top AS ({climb(LEVELS + 1, "one", "up2")})
+    SELECT doc_id, leaf, subroot, x.node AS root, sha256(sib) AS proof_sha256, acc AS folded_root,
+        acc = x.node AS verified
+    FROM top, l{2 * LEVELS + 1} x
+    """
+
+
+@register("op13_merkle_manifest", _manifest_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the tree, checked from a copy of which a third has been tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    low = F.translate("text", UPPER, LOWER)
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    fields = [low if f == "text" else F.col(f) for f in merkle.FIELDS]
+    copy = F.when(tampered, F.unhex(merkle.digest(merkle.record(fields))))
+    rows = merkle.manifest(docs, carry={"copy": copy})
+    leaf = F.coalesce(F.lower(F.hex("copy")), "leaf")
+    found = rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof(F.col("path")).alias("proof_sha256"),
+        merkle.folded(leaf, F.col("path")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
