@@ -83,8 +83,8 @@ class Words:
     first: np.ndarray
 
     @classmethod
-    def of(cls, texts: Texts) -> Words:
-        blank = BLANK[texts.data]
+    def of(cls, texts: Texts, outside: np.ndarray = BLANK) -> Words:
+        blank = outside[texts.data]
         begins, lasts = ~blank, ~blank
         begins[1:] &= blank[:-1]
         lasts[:-1] &= blank[1:]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradin.llm import ann, chat, langid, merkle, mixing, neardup, packing, quality, toxicity, urls, warc
+from gradin.llm import ann, chat, langid, merkle, mixing, neardup, packing, phrases, quality, toxicity, urls, warc
 from gradin.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,6 +244,50 @@ def _manifest_sql() -> str:
     """
 
 
+_COUNTED = " UNION ALL ".join(
+    f"SELECT lang, {gram} AS phrase, {k} AS k FROM grams WHERE w{k} IS NOT NULL"
+    for k, gram in ((1, "w1"), (2, "w1 || ' ' || w2"), (3, "w1 || ' ' || w2 || ' ' || w3"))
+)
+
+
+@register(
+    "op11_phrase_collocations",
+    rf"""
+    WITH pieces AS (
+        SELECT lang, piece, row_number() OVER () AS id FROM (
+            SELECT coalesce(lang, 'und') AS lang,
+                unnest(regexp_split_to_array(translate(text, '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents)
+    ), words AS (
+        SELECT lang, id, unnest(own) AS w, generate_subscripts(own, 1) AS i FROM (
+            SELECT lang, id, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS own FROM pieces)
+    ), grams AS (
+        SELECT lang, w AS w1, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY id ORDER BY i)
+    ), f AS MATERIALIZED (SELECT lang, phrase, k, count(*) AS f FROM ({_COUNTED}) GROUP BY ALL HAVING k = 1 OR count(*) >= 10),
+    c AS MATERIALIZED (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+    cuts AS (
+        SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, cut, 1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+        JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[:cut], ' ')
+        JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')
+    ), covered AS (
+        SELECT s.lang, s.phrase FROM c s JOIN (
+            SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3
+        ) t ON t.lang = s.lang AND t.phrase = s.phrase AND 100 * t.a >= 50 * s.a
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM (SELECT lang, phrase, a, m.score AS score, m.l AS l, m.r AS r FROM (
+            SELECT lang, phrase, a, min(struct_pack(score := score, cut := cut, l := l, r := r)) AS m
+            FROM cuts GROUP BY ALL)) ANTI JOIN covered USING (lang, phrase)
+    )
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM ranked JOIN (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang) USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @register("op13_merkle_manifest", _manifest_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the tree, checked from a copy of which a third has been tampered with."""
