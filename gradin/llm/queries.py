@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradin.llm import ann, chat, langid, merkle, mixing, neardup, packing, phrases, quality, toxicity, urls, warc
+from gradin.llm import ann, chat, langid, licenses, merkle, mixing, neardup, packing, phrases, quality, toxicity, urls, warc
 from gradin.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,6 +288,69 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def _licenses_sql() -> str:
+    rows = []
+    for i, t in enumerate(licenses.TEMPLATES):
+        words = "[" + ", ".join(sql_text(w.decode()) for w in t.words) + "]"
+        rows.append(f"({i}, '{t.label}', {t.base}, {t.k}, {t.share}, {t.gap}, {words})")
+    lengths = sorted({t.k for t in licenses.TEMPLATES})
+    grams = " UNION ALL ".join(
+        f"SELECT id, pos, {k} AS k, array_to_string(own[pos + 1:pos + {k}], ' ') AS gram"
+        f" FROM (SELECT id, own, unnest(range(len(own) - {k - 1})) AS pos FROM d)"
+        for k in lengths
+    )
+    return rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS id, doc_id,
+            regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS own
+        FROM documents
+    ), t(template, label, base, k, share, gap, words) AS (VALUES {", ".join(rows)}),
+    tg AS (SELECT *, array_to_string(words[tpos + 1:tpos + k], ' ') AS gram
+        FROM (SELECT *, unnest(range(len(words) - k + 1)) AS tpos FROM t)),
+    hits AS (SELECT g.id, template, label, base, tg.k, share, gap, len(words) AS size, tpos, pos, pos - tpos AS diagonal
+        FROM ({grams}) g JOIN tg ON tg.k = g.k AND tg.gram = g.gram),
+    steps AS (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY id, template ORDER BY diagonal, pos) AS step FROM hits),
+    spans AS (SELECT *, sum(CASE WHEN step <= gap THEN 0 ELSE 1 END) OVER (
+            PARTITION BY id, template ORDER BY diagonal, pos ROWS UNBOUNDED PRECEDING) AS span FROM steps),
+    found AS (
+        SELECT id, template, label, base, min(pos) AS first_word, count(DISTINCT word) / any_value(size) AS share
+        FROM (SELECT *, unnest(range(tpos, tpos + k)) AS word FROM spans)
+        GROUP BY id, template, label, base, span HAVING count(DISTINCT word) / any_value(size) >= any_value(share)
+    )
+    SELECT doc_id, len(own)::BIGINT AS n_words, count(*) FILTER (base)::BIGINT AS n_base,
+        min(first_word) FILTER (base)::BIGINT AS first_word, max(first_word) FILTER (base)::BIGINT AS last_word,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+        coalesce(max(share), 0)::DOUBLE AS score
+    FROM d LEFT JOIN found USING (id) GROUP BY id, doc_id, own
+    """
+
+
+@register("op12_license_scans", _licenses_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels beyond the base phrases come from more phrases and from notices found in part.
+
+    The score is the largest share of a phrase or notice that was found.
+    """
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["first_word"])
+
+    def labels(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
 @register("op13_merkle_manifest", _manifest_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the tree, checked from a copy of which a third has been tampered with."""
