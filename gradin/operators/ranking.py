@@ -17,8 +17,8 @@ def first_rows(
 ) -> DataFrame:
     """The first `n` rows of each group in the given order, numbered from 1 in column `rank`.
 
-    A group's rows are split by the task they come from; each part keeps its first `n`, then every
-    `FAN` parts meet, until one is left. So no task sees more of a group than a task's share or
+    A group's rows are split by a hash of the row and of the task they come from (so equal rows are
+    split as well); each part keeps its first `n`, then every `FAN` parts meet, until one is left. So no task sees more of a group than a task's share or
     `FAN * n` rows, whatever `n` is: Spark itself keeps a task's first rows before the shuffle only for
     an `n` up to spark.sql.optimizer.windowGroupLimitThreshold. Null is a group. Rows that tie in the
     whole order are taken in any order.
@@ -27,7 +27,8 @@ def first_rows(
         raise ValueError(f"columns {rank} and _part must be free")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(f"`{g}`") for g in groups]
-    df = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(parts)))
+    hashed = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    df = df.withColumn("_part", F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), F.lit(parts)).cast("int"))
     while True:
         last = parts == 1
         ranked = Window.partitionBy(*keys, *([] if last else ["_part"])).orderBy(*order)
