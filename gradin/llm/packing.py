@@ -16,11 +16,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradin.llm.hashing import LOWER, Texts, pieces, span_hashes
+from gradin.operators.ranges import in_ranges
 
 CAPACITY = 4096
 #: Costs of a cut, in empty places.
@@ -31,9 +31,11 @@ FREE_STEP = 256
 #: tokens that follow.
 AT_ONCE = 1 << 19
 END_ID = 2
-#: Distinct words whose ids a task remembers, and how many are encoded at a time.
-REMEMBERED = 200_000
+#: Distinct words whose ids a worker remembers, some 40 MB, and how many are encoded at a time.
+REMEMBERED = 1_000_000
 ENCODED_AT_ONCE = 4096
+#: Bytes of text in a range.
+RANGE_BYTES = 32 << 20
 
 _ALNUM, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123)):
@@ -42,31 +44,85 @@ for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
     _MARK[_a:_b] = True
 
 
+class Remembered:
+    """Ids of words by the words' hashes, in flat arrays of some 40 bytes a word.
+
+    New words wait in a short index of their own, so that the long one is rarely merged. Beyond
+    `most` words the half that was used longest ago is forgotten.
+    """
+
+    def __init__(self, most: int = REMEMBERED):
+        self.most, self.now = most, 0
+        self.ids = np.zeros(0, np.uint32)
+        empty = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.long, self.short = list(empty), list(empty)  # hash (ascending), begin, size, last use
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word's ids begin and how many there are; -1 where it is not known."""
+        begin, size = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
+        self.now += 1
+        for tier in (self.long, self.short):
+            if len(tier[0]):
+                at = np.minimum(np.searchsorted(tier[0], hashes), len(tier[0]) - 1)
+                hit = tier[0][at] == hashes
+                begin[hit], size[hit] = tier[1][at[hit]], tier[2][at[hit]]
+                tier[3][at[hit]] = self.now
+        return begin, size
+
+    def learn(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Hashes ascend and are not known yet."""
+        begins = len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids = np.concatenate([self.ids, ids])
+        self.short = self._merged(self.short, [hashes, begins, sizes, np.full(len(hashes), self.now)])
+        if len(self.short[0]) > self.most // 16:
+            self.long = self._merged(self.long, self.short)
+            self.short = [column[:0] for column in self.short]
+            if len(self.long[0]) > self.most:
+                self._forget()
+
+    @staticmethod
+    def _merged(one: list[np.ndarray], two: list[np.ndarray]) -> list[np.ndarray]:
+        order = np.argsort(np.concatenate([one[0], two[0]]), kind="stable")
+        return [np.concatenate([a, b])[order] for a, b in zip(one, two, strict=True)]
+
+    def _forget(self) -> None:
+        kept = np.sort(np.argsort(-self.long[3], kind="stable")[: self.most // 2])
+        self.long = [column[kept] for column in self.long]
+        begins, sizes = self.long[1], self.long[2]
+        ends = np.cumsum(sizes)
+        self.ids = self.ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1])]
+        self.long[1] = ends - sizes
+
+
 class Tokens:
     """Token ids of texts, word by word: words repeat, so each is encoded once and remembered.
 
     This is the tokenizer's own result, because its splitting never joins what white space
     separates, nor marks that end a word to the ASCII letters or digits before them. Texts with
-    a control string are given to it whole.
+    a control string are given to it whole. Words are told apart by 64-bit hashes.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known = Remembered()
         ends = re.compile(r"[.!?][\"')\]]*</w>")
         vocabulary = self.tokenizer.get_vocab()
         self.sentence_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.sentence_end[[i for token, i in vocabulary.items() if ends.fullmatch(token)]] = True
 
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
-        out: list[bytes] = []
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids: many words make one text, a blank between them."""
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for begin in range(0, len(words), ENCODED_AT_ONCE):
-            part = [w.decode() for w in words[begin : begin + ENCODED_AT_ONCE]]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            out += [np.array(e.ids, "<u4").tobytes() for e in found]
-        return out
+            part = words[begin : begin + ENCODED_AT_ONCE]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+            sizes.append(np.bincount(np.searchsorted(ends, starts, "right"), minlength=len(part)))
+            ids.append(np.array(found.ids, np.uint32))
+        return np.concatenate(sizes), np.concatenate(ids)
 
     def of(self, texts: Texts) -> list[np.ndarray]:
         words = texts.words()
@@ -86,19 +142,21 @@ class Tokens:
         starts, ends = np.empty(first_unit[-1], np.int64), np.empty(first_unit[-1], np.int64)
         starts[first_unit[:-1]], ends[first_unit[:-1]] = words.starts, cut
         starts[first_unit[1:][split] - 1], ends[first_unit[1:][split] - 1] = cut[split], words.ends[split]
-        _, at, which = np.unique(span_hashes(texts.prefix(lower), starts, ends), return_index=True, return_inverse=True)
-        held = lower.tobytes()
-        keys = [held[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-        known = self.known
-        new = [k for k in keys if k not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = keys
-        known.update(zip(new, self._encoded(new), strict=True))
-        found = [known[k] for k in keys]
-        flat = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begins = np.cumsum(sizes) - sizes
+        hashes, at, which = np.unique(
+            span_hashes(texts.prefix(lower), starts, ends), return_index=True, return_inverse=True
+        )
+        begins, sizes = self.known.find(hashes)
+        new = np.flatnonzero(begins < 0)
+        if len(new):
+            held = lower.tobytes()
+            spans = zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)
+            new_sizes, new_ids = self._encoded([held[a:b].decode() for a, b in spans])
+            begins[new] = len(self.known.ids) + np.cumsum(new_sizes) - new_sizes
+            sizes[new] = new_sizes
+            flat = np.concatenate([self.known.ids, new_ids])
+            self.known.learn(hashes[new], new_sizes, new_ids)
+        else:
+            flat = self.known.ids
         of_unit = sizes[which]
         unit_first = np.concatenate([[0], np.cumsum(of_unit)])
         ids = flat[np.repeat(begins[which] - unit_first[:-1], of_unit) + np.arange(unit_first[-1])]
@@ -163,7 +221,7 @@ class _Packer:
     """One range's stream: takes documents, gives rows of PIECE."""
 
     def __init__(self, shard: int, sentence_end: np.ndarray, capacity: int, sentence: int, anywhere: int):
-        self.number = shard << 32
+        self.shard, self.number = shard, shard << 32
         self.sentence_end, self.capacity, self.prices = sentence_end, capacity, (sentence, anywhere)
         self.docs: list[tuple[int | None, int, np.ndarray, int]] = []  # id, start of the rest, rest, all tokens
         self.waiting = 0
@@ -211,6 +269,7 @@ def pack(
     end_id: int = END_ID,
     sentence: int = SENTENCE,
     anywhere: int = ANYWHERE,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Rows of PIECE: parts of documents with their token ids (little-endian unsigned 32-bit), the sequence
     and the place in it.
@@ -218,16 +277,18 @@ def pack(
     `tokenizer` is the path of a vocabulary file. A document's ids are followed by `end_id`, so
     an empty or null text has that one id. Documents are ordered by id, then by a hash of the
     text, nulls first; each range of the order is a stream of its own, whose last sequence may
-    be short. Every row is packed, repeated ones as often as they occur. Texts are moved to
-    their range before they are split into tokens, and a range holds some hundred thousand
-    tokens and its longest text in memory. Other columns are not read.
+    be short. Ranges depend on the rows alone, so reruns agree, whatever the partitions. Every row is
+    packed, repeated ones as often as they occur. Texts are moved to their range before they
+    are split into tokens, and a task holds some hundred thousand tokens and the longest text in
+    memory. Other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("n", F.coalesce(F.octet_length("text"), F.lit(0)) + 16)
+    rows = in_ranges(rows, "doc_id", "h", "n", range_bytes, "shard").select("shard", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokens(tokenizer)
-        packer = _Packer(TaskContext.get().partitionId(), own.sentence_end, capacity, sentence, anywhere)
+        packer = None
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
@@ -237,14 +298,17 @@ def pack(
             )
 
         for batch in batches:
-            doc_ids = batch.column("doc_id").to_pylist()
+            shards, doc_ids = batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist()
             for begin, texts in pieces(batch.column("text"), 1 << 20):
-                for i, ids in enumerate(own.of(texts)):
-                    if out := list(packer.add(doc_ids[begin + i], np.append(ids, np.uint32(end_id)))):
+                for i, ids in enumerate(own.of(texts), begin):
+                    out = []
+                    if packer is None or packer.shard != shards[i]:
+                        out += packer.flush(True) if packer else []
+                        packer = _Packer(shards[i], own.sentence_end, capacity, sentence, anywhere)
+                    out += packer.add(doc_ids[i], np.append(ids, np.uint32(end_id)))
+                    if out:
                         yield batch_of(out)
-        if out := list(packer.flush(True)):
+        if packer and (out := list(packer.flush(True))):
             yield batch_of(out)
-        # the worker runs other tasks next, also of other operators
-        own.known.clear()
 
-    return rows.select("doc_id", "text").mapInArrow(run, PIECE)
+    return rows.mapInArrow(run, PIECE)
