@@ -21,12 +21,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradin.operators.ranges import in_ranges
+
 #: A file is closed once it has so many compressed bytes.
 ROLL_AT = 32 << 20
+#: Bytes of payload in a range.
+RANGE_BYTES = 64 << 20
 LEAST_BYTES = 1000
 LEVEL = 6
 DATE = "1970-01-01T00:00:00Z"
@@ -79,11 +82,33 @@ def record(row: dict, payload: bytes) -> bytes:
         f"X-Payload-Length: {len(payload)}",
     ]
     if revisit:
-        head += [f"WARC-Profile: {PROFILE}", f"X-Refers-To-Page-Id: {row['refers_to']}"]
+        head += [
+            f"WARC-Profile: {PROFILE}",
+            f"WARC-Refers-To: {record_id(row['refers_to'], row['refers_url'])}",
+            f"WARC-Refers-To-Target-URI: {_header_value(row['refers_url'] or '')}",
+            f"WARC-Refers-To-Date: {DATE}",
+            f"X-Refers-To-Page-Id: {row['refers_to']}",
+        ]
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def file_record(name: str) -> bytes:
+    """The record that opens a file and tells what wrote it."""
+    block = b"software: gradin\r\nformat: WARC File Format 1.1\r\n"
+    head = [
+        "WARC/1.1",
+        "WARC-Type: warcinfo",
+        f"WARC-Record-ID: {record_id(None, name)}",
+        f"WARC-Date: {DATE}",
+        f"WARC-Filename: {name}",
+        "Content-Type: application/warc-fields",
+        f"WARC-Block-Digest: {base32(hashlib.sha1(block).digest())}",
+        f"Content-Length: {len(block)}",
+    ]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
 def _gzip(data: bytes) -> bytes:
     packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)  # a gzip header without a time
     return packer.compress(data) + packer.flush()
@@ -103,12 +128,17 @@ class _Files:
             self.temporary = f"{self.folder}/_temporary/{self.name}.{uuid.uuid4().hex}"
             self.out = self.fs.open_output_stream(self.temporary, compression=None)
             self.records, self.size, self.digest = 0, 0, hashlib.sha256()
-        self.out.write(member)
-        self.digest.update(member)
-        self.records, self.size = self.records + 1, self.size + len(member)
+            self._write(_gzip(file_record(self.name)))
+        self._write(member)
+        self.records += 1
         if self.size >= self.roll_at:
             yield self.close()
 
+    def _write(self, member: bytes) -> None:
+        self.out.write(member)
+        self.digest.update(member)
+        self.size += len(member)
+
     def close(self) -> tuple:
         self.out.close()
         self.out = None
@@ -116,6 +146,9 @@ class _Files:
         self.number += 1
         return self.name, self.records, self.size, self.digest.hexdigest()
 
+    def rest(self) -> list[tuple]:
+        return [] if self.out is None else [self.close()]
+
 
 def write_archive(
     pages: DataFrame,
@@ -125,13 +158,16 @@ def write_archive(
     html: str = "html",
     least_bytes: int = LEAST_BYTES,
     roll_at: int = ROLL_AT,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Write a record per row below `folder`, which must be new, and give the manifest.
 
     `folder` is one that all executors share. A null html is an empty payload, a null url an
-    empty target. Rows are ordered by id and url, nulls first. Rows that repeat the largest id
-    of equal payloads are responses as well; a null id is smaller than any, and where all ids
-    are null all are responses. Other columns are not read.
+    empty target. Rows are ordered by id, nulls first, and those of one id by a hash of url and payload;
+    each range of that order is written by one task, and where files begin and end depends on
+    the rows alone. Rows that repeat the largest id of equal payloads are responses as well; a
+    null id is smaller than any, and where all ids are null all are responses. Other columns
+    are not read.
     """
     spark = pages.sparkSession
     payload = F.coalesce(F.col(html).cast("string"), F.lit(""))
@@ -140,35 +176,41 @@ def write_archive(
     rows = rows.withColumn("key", F.when(F.col("n") >= least_bytes, F.sha2(F.col("html").cast("binary"), 256)))
     # of each payload the largest id; only those that occur twice have something to tell
     small = rows.where("key IS NOT NULL").select("page_id", "url", "key")
-    originals = small.groupBy("key").agg(F.max("page_id").alias("original"), F.count("*").alias("times"))
-    originals = originals.where("times > 1 AND original IS NOT NULL").select("key", "original")
+    largest = F.max(F.struct("page_id", "url"))
+    originals = small.groupBy("key").agg(largest.alias("original"), F.count("*").alias("times"))
+    originals = originals.where("times > 1 AND original.page_id IS NOT NULL").select("key", "original")
     # a mark tells the rows that it is sorted before what they refer to; so payloads move once
-    marks = small.join(originals, "key").where(~F.col("page_id").eqNullSafe(F.col("original")))
-    marks = marks.select("page_id", "url", F.lit(None).cast("string").alias("html"), "key", F.col("original").alias("refers_to")).distinct()
-    rows = rows.select("page_id", "url", "html", "key", F.lit(None).cast("bigint").alias("refers_to")).unionByName(marks)
+    marks = small.join(originals, "key").where(~F.col("page_id").eqNullSafe(F.col("original.page_id")))
+    told = [F.col("original.page_id").alias("refers_to"), F.col("original.url").alias("refers_url")]
+    marks = marks.select("page_id", "url", F.lit(None).cast("string").alias("html"), "key", *told).distinct()
+    told = [F.lit(None).cast("bigint").alias("refers_to"), F.lit(None).cast("string").alias("refers_url")]
+    rows = rows.select("page_id", "url", "html", "key", *told).unionByName(marks)
+    rows = rows.withColumn("h", F.xxhash64("url", "key"))
+    rows = rows.withColumn("n", F.coalesce(F.octet_length("html"), F.lit(0)) + 256)
     fs, path = store(folder)
     fs.create_dir(f"{path}/_temporary", recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files = _Files(folder, TaskContext.get().partitionId(), roll_at)
-        out, mark = [], None
+        files, out, mark = None, [], None
         for batch in batches:
             for row in batch.to_pylist():
+                if files is None or files.shard != row["shard"]:
+                    out += files.rest() if files else []
+                    files = _Files(folder, row["shard"], roll_at)
                 same = row["page_id"], row["url"], row["key"]
                 if row["html"] is None:
-                    mark = same, row["refers_to"]
+                    mark = same, row["refers_to"], row["refers_url"]
                     continue
-                row["refers_to"] = mark[1] if mark and mark[0] == same else None
+                row["refers_to"], row["refers_url"] = mark[1:] if mark and mark[0] == same else (None, None)
                 out += files.add(_gzip(record(row, row["html"].encode())))
-        if files.out is not None:
-            out.append(files.close())
+        out += files.rest() if files else []
         names = ["file", "records", "bytes", "sha256"]
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
         columns = list(zip(*out, strict=True)) or [[] for _ in names]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    ranged = rows.repartitionByRange("page_id", "url").sortWithinPartitions("page_id", "url", "key", "html")
-    ranged.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
+    rows = in_ranges(rows, "page_id", "h", "n", range_bytes, "shard", ["url", "key", "html"]).drop("h", "n")
+    rows.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
 
@@ -214,6 +256,8 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
                 with fs.open_input_stream(f"{path}/{name}", compression=None) as stream:
                     out, size = [], 0
                     for headers, block in records(iter(lambda s=stream: s.read(_READ), b"")):
+                        if headers["WARC-Type"] == "warcinfo":
+                            continue
                         out.append(_row(headers, block))
                         size += len(block)
                         if size > 16 * _READ:
