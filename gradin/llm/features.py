@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from gradin.llm.graph import written
 from gradin.llm.hashing import Texts, Words, mixed
+from gradin.operators.ranking import first_rows
 
 _TURNS = np.uint32([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F])
 
@@ -58,46 +58,81 @@ def summed(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarr
     return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
-    """(doc_id, label, text) of at most `per_label` documents of each label.
+#: Texts of all labels together that a sample may have.
+MOST_TEXTS = 4000
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int, most: int = MOST_TEXTS) -> DataFrame:
+    """(doc_id, label, text) of at most `per_label` documents of each label, and fewer where there are so
+    many labels that `most` would be passed; one of each label is always taken.
 
     `labels` has doc_id and label; of several labels of one id the largest counts. The first ids
-    by a hash are taken, each task keeping its own first ones before the shuffle; their texts
-    come by a broadcast of these ids, whose number is bounded by the parameter. Repeated rows of
-    one id give one text.
+    by a hash are taken: the first of each task, then the first of these, so no task sees all ids of
+    a label. The ids are written, so Spark knows how few they are when their texts are joined.
+    Repeated rows of one id give one text.
     """
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
-    first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_label).select("doc_id", "label")
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(ids), "doc_id")
+    known = written(known, "labels")
+    number = known.agg(F.count_distinct("label")).first()[0]
+    per_label = max(1, min(per_label, most // max(1, number)))
+    ids = first_rows(known, ["label"], [F.xxhash64("doc_id"), F.col("doc_id")], per_label, "_n").drop("_n")
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(written(ids, "taught"), "doc_id")
     return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 Features = Callable[[pa.Array], Iterator[np.ndarray]]
 
 
-def collected_features(sample: DataFrame, features: Features, label_type: str) -> pd.DataFrame:
-    """(label, x) of a bounded sample; x is one dense vector, made where the rows are."""
+def collected_features(
+    sample: DataFrame, features: Features, label_type: str, width: int, forms: int = 1
+) -> tuple[np.ndarray, np.ndarray]:
+    """(labels, x) of a bounded sample, in the order of a hash of the ids.
+
+    A text's features are `forms` vectors of `width`, made where the rows are; what is not zero comes
+    back and is laid into one array of single precision. It has all first forms, then all second
+    ones, and as many labels.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = [v.astype(np.float32).tobytes() for part in features(batch.column("text")) for v in part]
+            at, values = [], []
+            for part in features(batch.column("text")):
+                for row in part:
+                    held = np.flatnonzero(row)
+                    at.append(held.astype("<u4").tobytes())
+                    values.append(row[held].astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("h"), pa.array(vectors, pa.binary())], ["label", "h", "x"]
+                [batch.column("label"), batch.column("h"), pa.array(at, pa.binary()), pa.array(values, pa.binary())],
+                ["label", "h", "at", "x"],
             )
 
     sample = sample.select("label", F.xxhash64("doc_id").alias("h"), "text")
-    got = sample.mapInArrow(run, f"label {label_type}, h bigint, x binary").toPandas()
-    return got.sort_values(["h", "label"], kind="stable").reset_index(drop=True)
-
-
-def dense(column: pd.Series) -> np.ndarray:
-    return np.stack([np.frombuffer(x, np.float32) for x in column])
+    got = sample.mapInArrow(run, f"label {label_type}, h bigint, at binary, x binary").toArrow()
+    labels = np.array(got.column("label").to_pylist())
+    order = np.lexsort((labels, got.column("h").to_numpy())) if len(labels) else []
+    x = np.zeros((forms, len(order), width), np.float32)
+    places, values = got.column("at"), got.column("x")
+    for to, i in enumerate(order):
+        i = int(i)
+        at = np.frombuffer(places[i].as_py(), "<u4")
+        x[at // width, to, at % width] = np.frombuffer(values[i].as_py(), "<f4")
+    return np.tile(labels[order], forms) if len(order) else labels, x.reshape(forms * len(order), width)
 
 
 def scales(x: np.ndarray) -> np.ndarray:
     """Factors that give rare features a say; they are folded into the weights."""
-    return 1 / (x.std(axis=0) + 0.02 * x.std(axis=0).max() + 1e-9)
+    mean, square = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for begin in range(0, len(x), 256):  # without a copy of all inputs
+        part = x[begin : begin + 256].astype(np.float64)
+        mean += part.sum(axis=0) / len(x)
+        square += (part**2).sum(axis=0) / len(x)
+    deviation = np.sqrt(np.maximum(0, square - mean**2))
+    return 1 / (deviation + 0.02 * deviation.max() + 1e-9)
+
+
+def length(x: np.ndarray) -> np.float32:
+    """The root of the mean square length of the rows."""
+    return np.float32(np.sqrt(np.einsum("ij,ij->i", x, x).mean(dtype=np.float64)))
 
 
 def fitted(

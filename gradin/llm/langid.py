@@ -84,15 +84,14 @@ def _pair_fit(x: np.ndarray, sign: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Fit on (doc_id, text, lang): at most `per_language` texts of each language, the first
-    by a hash. None if there is no labelled text."""
+    by a hash, and 4,000 of all languages together. None if there is no labelled text."""
     labels = docs.select("doc_id", F.col("lang").alias("label"))
-    got = X.collected_features(X.labelled_sample(docs, labels, per_language), _vectors, "string")
-    if got.empty:
+    sample = X.labelled_sample(docs, labels, per_language)
+    named, x = X.collected_features(sample, _vectors, "string", len(ORDERS) * BUCKETS, 2)
+    if not len(named):
         return None
-    both = X.dense(got["x"]).reshape(len(got), 2, -1)
-    x = np.concatenate([both[:, 0], both[:, 1]])
-    languages = sorted(got["label"].unique())
-    y = np.tile(np.searchsorted(languages, got["label"]), 2)
+    languages = sorted(set(named.tolist()))
+    y = np.searchsorted(languages, named)
     name = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
     groups: dict[str, list[int]] = {}
     for i, code in enumerate(languages):
@@ -100,7 +99,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     families = list(groups.values())
     factor = X.scales(x).astype(np.float32)
     x *= factor
-    length = np.float32(np.sqrt((x**2).sum(axis=1).mean()))
+    length = X.length(x)
     x /= length
     norm = factor / length
     family_of = np.empty(len(languages), int)
@@ -123,10 +122,12 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         for i, j in combinations(members, 2):
             own = (y == i) | (y == j)
             sign = np.where(y[own] == i, 1.0, -1.0)
-            w = _pair_fit(x[own], sign)
+            taught = x[own]
+            w = _pair_fit(taught, sign)
             pairs.append((i, j))
             columns.append(w)
-            a, _ = X.platt(x[own] @ w[:-1] + w[-1], (sign > 0).astype(float))
+            a, _ = X.platt(taught @ w[:-1] + w[-1], (sign > 0).astype(float))
+            del taught
             scale.append(max(a, 1e-3))
     stacked = np.array(columns).T
     weights = (stacked[:-1] * norm[:, None]).astype(np.float32)

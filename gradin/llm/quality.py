@@ -114,13 +114,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
     probabilities, which follow the labels' shares. None unless both labels occur."""
     labels = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("label"))
     shares = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
-    got = X.collected_features(X.labelled_sample(docs, labels, per_label), _vectors, "int")
-    if got["label"].nunique() < 2:
+    named, x = X.collected_features(X.labelled_sample(docs, labels, per_label), _vectors, "int", (len(CHARS) + len(WORDS)) * BUCKETS)
+    if len(set(named.tolist())) < 2:
         return None
-    x, y = X.dense(got["x"]), got["label"].to_numpy().astype(float)
+    y = named.astype(float)
     factor = X.scales(x).astype(np.float32)
-    factor /= np.sqrt(((x * factor) ** 2).sum(axis=1).mean())
-    x = x * factor
+    x *= factor
+    size = X.length(x)
+    x /= size
+    factor /= size
     apart = np.arange(len(y)) % 5 == 0
     if len(set(y[apart])) < 2 or len(set(y[~apart])) < 2:
         apart[:] = True
