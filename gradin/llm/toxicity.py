@@ -316,7 +316,7 @@ class NetworkStrength:
 
 def _training_windows(sample: DataFrame, strength) -> list:
     """(label, words, triples, lengths): of each sampled text the strongest window, and of one
-    that is not toxic another by a hash. Windows are bounded, texts are not."""
+    that is not toxic another by a hash. Windows have whole words; texts are not bounded."""
     held = sample.sparkSession.sparkContext.broadcast(strength)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,12 +336,12 @@ def _training_windows(sample: DataFrame, strength) -> list:
                         picks.add(int(a + int(h[begin + i]) % (b - a)))
                     for w in sorted(picks):
                         own = u.ids[start[w] : stop[w]] - 1
-                        grams = [u.grams[u.gram_first[k] : u.gram_first[k + 1]][:64] for k in own]
+                        grams = [u.grams[u.gram_first[k] : u.gram_first[k + 1]] for k in own]
                         rows.append(
                             (
                                 int(label[begin + i]), int(h[begin + i]), u.word[own].astype(np.int16).tobytes(),
                                 np.concatenate([*grams, np.zeros(0, np.uint32)]).astype(np.int16).tobytes(),
-                                np.array([len(x) for x in grams], np.int16).tobytes(),
+                                np.array([len(x) for x in grams], np.int32).tobytes(),
                             )
                         )
         names = ["label", "h", "word", "grams", "lengths"]
@@ -351,8 +351,8 @@ def _training_windows(sample: DataFrame, strength) -> list:
 
     got = sample.mapInArrow(run, "label int, h bigint, word binary, grams binary, lengths binary").toPandas()
     got = got.sort_values(["h", "word", "label"], kind="stable")
-    read = lambda x: np.frombuffer(x, np.int16).astype(np.int64)
-    return [(r.label, read(r.word), read(r.grams), read(r.lengths)) for r in got.itertuples()]
+    read = lambda x, kind=np.int16: np.frombuffer(x, kind).astype(np.int64)
+    return [(r.label, read(r.word), read(r.grams), read(r.lengths, np.int32)) for r in got.itertuples()]
 
 
 def _train(net: Network, windows: list, epochs: int, seed: int) -> None:
