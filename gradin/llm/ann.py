@@ -166,16 +166,26 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()) if len(column) else np.zeros((0, 0))
 
 
+#: What a block finds: the query and a hash of its vector, the candidate, a hash of its vector and its
+#: number among equal rows, the inner product, and whether the query has several vectors.
+FOUND = {
+    "query_id": "bigint", "spot": "bigint", "vec_id": "bigint", "to": "bigint", "nth": "bigint", "score": "double",
+    "several": "boolean",
+}
+
+
 def _nearest(k: int):
     """The k best candidates of each query among a block's."""
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(rows):
-            rows = rows.sort_values("vec_id", kind="stable")
-            ids, y = rows["vec_id"].to_numpy(), _matrix(rows["v"])
+            rows = rows.sort_values(["vec_id", "spot"], kind="stable")
+            ids, y, to = rows["vec_id"].to_numpy(), _matrix(rows["v"]), rows["spot"].to_numpy()
+            nth = rows.groupby(["vec_id", "spot"]).cumcount().to_numpy()
             for a in range(0, len(queries), 256):
                 own, x = queries["vec_id"].to_numpy()[a : a + 256], _matrix(queries["v"].iloc[a : a + 256])
+                name, several = (queries[c].to_numpy()[a : a + 256] for c in ("spot", "several"))
                 rough = x @ y.T
                 rough[own[:, None] == ids[None, :]] = -np.inf
                 # what may tie with the last of the best is scored again by a fixed order of sums
@@ -186,8 +196,10 @@ def _nearest(k: int):
                     near = near[rough[i][near] > -np.inf]
                     score = (y[near] * x[i]).sum(axis=1)
                     best = np.lexsort((ids[near], -score))[:k]
-                    out.append(pd.DataFrame({"query_id": own[i], "vec_id": ids[near][best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+                    near, score = near[best], score[best]
+                    columns = own[i], name[i], ids[near], to[near], nth[near], score, several[i]
+                    out.append(pd.DataFrame(dict(zip(FOUND, columns, strict=True))))
+        return pd.concat(out) if out else pd.DataFrame({c: [] for c in FOUND}).astype("int64")
 
     return run
 
@@ -207,7 +219,8 @@ def search(
     row is never its own neighbour: candidates with the query's vec_id are left out. Vectors
     that are null, zero, or hold nulls or non-finite numbers take no part, nor do those whose
     length is not the commonest one, nor null ids. With fewer than k candidates all are
-    returned; repeated rows are candidates each. At most `sample` rows, the first by a hash,
+    returned; repeated rows are candidates each, and one query. Several vectors under one query id are one
+    query: a candidate is as near as to the nearest of them. At most `sample` rows, the first by a hash,
     teach the router. Other columns are not read.
     """
     rows = written(usable(vectors, vec_id, embedding).where("vec_id IS NOT NULL"), "vectors")
@@ -239,7 +252,9 @@ def search(
                         many = np.minimum(np.maximum(own.probes, short + 1), order.shape[1])
                 ends = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(ends, order[np.arange(order.shape[1])[None, :] < many[:, None]])
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), lists], ["vec_id", "v", "parts"])
+                columns = [batch.column("vec_id"), batch.column("v"), lists]
+                columns += [batch.column("several")] if sizes is not None else []
+                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "v", "parts", "several"][: len(columns)])
 
         return run
 
@@ -249,10 +264,11 @@ def search(
     sizes = np.zeros(parts, np.int64)
     for r in index.groupBy("part").count().collect():  # at most MOST_PARTS rows
         sizes[r["part"]] = r["count"]
-    queries = rows.where(query(F.col("vec_id")))
-    queries = queries.join(queries.groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id").select("vec_id", "v", "own")
-    asked = queries.mapInArrow(routed(sizes), kind)
-    asked = written(asked.select("vec_id", "v", F.explode("parts").alias("part")), "asked")
+    queries = rows.where(query(F.col("vec_id"))).groupBy("vec_id", "v").agg(F.count("*").alias("times"))
+    many = queries.groupBy("vec_id").agg(F.sum("times").alias("own"), (F.count("*") > 1).alias("several"))
+    queries = queries.join(many, "vec_id").select("vec_id", "v", "own", "several")
+    asked = queries.mapInArrow(routed(sizes), kind + ", several boolean")
+    asked = written(asked.select("vec_id", "v", "several", F.explode("parts").alias("part")), "asked")
     # a part meets its queries in a grid of blocks, both of bounded size
     blocks = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).alias("c")).join(
         asked.groupBy("part").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("q")), "part"
@@ -263,14 +279,19 @@ def search(
     spot = F.xxhash64("vec_id", "v")
 
     def dealt(side: DataFrame, mine: str, other: str) -> DataFrame:
-        side = side.join(table, "part").withColumn(mine + "_at", F.pmod(spot, F.col(mine)))
+        side = side.join(table, "part").withColumn("spot", spot).withColumn(mine + "_at", F.pmod("spot", F.col(mine)))
         side = side.withColumn(other + "_at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)))
-        return side.select("part", "c_at", "q_at", "vec_id", "v")
+        return side.select("part", "c_at", "q_at", "vec_id", "spot", "v", *[c for c in side.columns if c == "several"])
 
     keys = ["part", "c_at", "q_at"]
     met = dealt(asked, "q", "c").groupBy(*keys).cogroup(dealt(index, "c", "q").groupBy(*keys))
-    found = met.applyInPandas(_nearest(k), "query_id bigint, vec_id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = met.applyInPandas(_nearest(k), ", ".join(f"`{c}` {kind}" for c, kind in FOUND.items()))
+    nearest = [F.desc("score"), "vec_id", "to", "nth"]
+    best = Window.partitionBy("query_id", "spot").orderBy(*nearest)
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found.select("query_id", "rank", "vec_id", "score")
+    # of several vectors under one query id the nearest of any counts
+    joint = found.where("several").groupBy("query_id", "vec_id", "to", "nth").agg(F.max("score").alias("score"))
+    joint = joint.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*nearest)))
+    columns = ["query_id", "rank", "vec_id", "score"]
+    return found.where("NOT several").select(*columns).unionByName(joint.where(F.col("rank") <= k).select(*columns))
 
