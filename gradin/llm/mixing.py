@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gradin.llm.graph import written
+from gradin.operators.numbering import numbered
 
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2.0
@@ -174,19 +175,43 @@ def mix(
     return chosen.join(known, "key").select("doc_id", "key", "k", "size", "source_size", "target", copies.alias("copies"))
 
 
+def row_hash(docs: DataFrame, text: str = "text"):
+    """A hash of the whole row, whatever types it has: the text, and the other columns as JSON."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    return F.xxhash64(F.col(text), F.to_json(F.struct(*others))) if others else F.xxhash64(F.col(text))
+
+
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The documents, each as often as the mix takes it; the columns stay as they are."""
+    """The documents, each as often as the mix takes it; the columns stay as they are.
+
+    Rows that agree in id, source and size are numbered by a hash of the row, over many tasks and
+    without their texts; so reruns agree. Of rows that are equal throughout, one gives the copies
+    of all. Texts move once.
+    """
     chosen = mix(docs, **how).where("copies > 0").select("doc_id", "key", "size", "k", "copies")
     rows = docs.select(
         F.col(how.get("doc_id", "doc_id")).cast("bigint").alias("doc_id"),
         key_of(how.get("source", "source")).alias("key"),
         size_of(how.get("text", "text")).alias("size"),
+        row_hash(docs, how.get("text", "text")).alias("h"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
-    number = F.row_number().over(Window.partitionBy("doc_id", "key", "size").orderBy(F.lit(0)))
-    rows = rows.withColumn("k", number.cast("bigint"))
-    same = rows["doc_id"].eqNullSafe(chosen["doc_id"])
-    for c in ("key", "size", "k"):
-        same &= rows[c] == chosen[c]
-    taken = rows.join(chosen, same).select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    return taken.select("row.*")
+    unit = ["doc_id", "key", "size"]
+    units = written(rows.select(*unit, "h", F.monotonically_increasing_id().alias("r")), "units")
+    units = numbered(units, unit, ["h", "r"], "k").withColumn("k", F.col("k") + 1)
+
+    def same(left: DataFrame, right: DataFrame, *columns: str):
+        out = left["doc_id"].eqNullSafe(right["doc_id"])
+        for c in columns:
+            out &= left[c] == right[c]
+        return out
+
+    told = units.join(chosen, same(units, chosen, "key", "size", "k"), "left")
+    told = told.select(*[units[c] for c in (*unit, "h")], F.coalesce("copies", F.lit(0)).alias("copies"))
+    taken = told.groupBy(*unit, "h").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    taken = written(taken.where("copies > 0"), "taken")
+    found = rows.join(taken, same(rows, taken, "key", "size", "h"))
+    found = found.select(*[rows[c] for c in (*unit, "h")], "row", "copies", "rows")
+    repeated = found.where("rows > 1").groupBy(*unit, "h").agg(F.first("row").alias("row"), F.first("copies").alias("copies"))
+    found = found.where("rows = 1").select("row", "copies").unionByName(repeated.select("row", "copies"))
+    return found.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select("row.*")
