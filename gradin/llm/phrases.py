@@ -31,12 +31,14 @@ from gradin.operators.numbering import numbered
 from gradin.operators.ranking import first_rows
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Words of a side of a tile, and sides of the square of tiles that are counted densely.
 TILE = 1024
 DENSE = 4
 #: Occurrences outside the dense tiles that a task sorts at a time.
-SORTED = 4_000_000
+SORTED = 2_000_000
+#: Occurrences that a task's dense tiles hold in 32 bits before they are given out.
+MOST_SEEN = 1 << 30
 #: Bits of the bitmap of frequent pairs, 8 MB whatever the corpus, in pieces of 32,768.
 FILTER_BITS = 26
 PIECE_BITS = 15
@@ -138,7 +140,7 @@ class Tiles:
     def __init__(self) -> None:
         self.dense: dict[tuple[int, int], np.ndarray] = {}
         self.rest: list[tuple[np.ndarray, np.ndarray]] = []
-        self.waiting = 0
+        self.waiting = self.seen = 0
 
     def add(self, p: np.ndarray, q: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         head = (p < DENSE * TILE) & (q < DENSE * TILE)
@@ -147,12 +149,17 @@ class Tiles:
         address = a % TILE * TILE + b % TILE
         for t in np.unique(tile):
             counts = np.bincount(address[tile == t], minlength=TILE * TILE)
-            known = self.dense.setdefault((t // DENSE, t % DENSE), np.zeros(TILE * TILE, np.int64))
-            known += counts
+            place = (t // DENSE, t % DENSE)
+            if place not in self.dense:
+                self.dense[place] = np.zeros(TILE * TILE, np.uint32)
+            self.dense[place] += counts.astype(np.uint32)
         self.rest.append((p[~head], q[~head]))
         self.waiting += len(p) - len(a)
         if self.waiting >= SORTED:
             yield self.sparse()
+        self.seen += len(a)
+        if self.seen >= MOST_SEEN:
+            yield from self.left()
 
     def sparse(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         p, q = (np.concatenate(side) for side in zip(*self.rest, strict=True))
@@ -165,6 +172,7 @@ class Tiles:
         for (row, column), counts in self.dense.items():
             at = np.flatnonzero(counts)
             yield row * TILE + at // TILE, column * TILE + at % TILE, counts[at]
+        self.dense, self.seen = {}, 0
 
 
 def _counted(sequences: DataFrame, least: int) -> DataFrame:
