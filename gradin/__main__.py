@@ -16,17 +16,18 @@ from pyspark.sql import SparkSession
 
 from gradin.plans import layers
 from gradin.plans.football import STAR
+from gradin.sources import snapshot
 from gradin.sources.lineage import new_batch_id
-from gradin.sources.snapshot import load_report
 from gradin.sources.warehouse import publish_star
 
-STEPS = ("extract", "bronze", "silver", "gold", "publish")
+STEPS = ("extract", "bronze", "silver", "gold", "publish", "clean")
 NEEDS = {
     "extract": ("documents", "landing"),
     "bronze": ("landing", "out"),
     "silver": ("out",),
     "gold": ("out",),
     "publish": ("out", "jdbc_url"),
+    "clean": ("out",),
 }
 
 
@@ -36,6 +37,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--documents", help="folder of JSON lines documents")
     parser.add_argument("--landing", help="folder of landing files")
     parser.add_argument("--out", help="folder of the bronze, silver and gold tables")
+    parser.add_argument("--batch", help="name of the run; layers that have published it are not run again")
+    parser.add_argument("--keep", type=int, default=2, help="published batches of a layer that clean leaves")
     parser.add_argument("--strict", action="store_true", help="stop at a broken constraint")
     parser.add_argument("--rejects", help="folder for damaged documents; without it they stop the run")
     parser.add_argument("--key-bits", type=int, choices=(32, 64), default=32, help="of venue keys")
@@ -58,15 +61,27 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
     if "extract" in given.steps:
         docs = layers.read_source_documents(spark, given.documents, given.rejects)
         layers.extract(docs, given.landing)
-    if "bronze" in given.steps:
-        layers.ingest_bronze(spark, given.landing, given.out, new_batch_id())
-    if "silver" in given.steps:
-        layers.run_silver(spark, given.out)
-    if "gold" in given.steps:
+    batch = given.batch or new_batch_id()
+
+    def due(layer: str) -> bool:
+        return layer in given.steps and not snapshot.is_published(spark, given.out, layer, batch)
+
+    def source(layer: str) -> str | None:
+        """The run's own batch of a layer, where there is one."""
+        return batch if snapshot.is_published(spark, given.out, layer, batch) else None
+
+    if due("bronze"):
+        layers.ingest_bronze(spark, given.landing, given.out, batch)
+    if due("silver"):
+        layers.run_silver(spark, given.out, batch, source("bronze"))
+    if due("gold"):
         gold = layers.run_gold(
-            spark, given.out, given.strict, bits=given.key_bits, one_per_match=given.one_per_match
+            spark, given.out, given.strict, batch, given.key_bits, given.one_per_match, source("silver")
         )
-        load_report(gold).show(truncate=False)
+        snapshot.load_report(gold).show(truncate=False)
+    if "clean" in given.steps:
+        for layer in ("bronze", "silver", "gold"):
+            snapshot.remove_old(spark, given.out, layer, given.keep)
     if "publish" in given.steps:
         properties = dict(option.split("=", 1) for option in given.jdbc_option)
         if given.jdbc_password_env:

@@ -15,10 +15,18 @@ _TASK_BITS = 33
 
 
 def numbered(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "position", total: str | None = None
+    df: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[str],
+    name: str = "position",
+    total: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """The rows with their position in their group, from 0, in ascending order (nulls first).
 
+    With `weight` a row counts as often as that column says, and the position is the sum of the
+    weights before it.
+
     Rows are dealt by range of groups and order, so a group that holds most rows is spread over
     many tasks; each task numbers its range and the counts of the ranges before it are added. Only
     these counts, one per range and group, meet in a window. With `total` the group's number of rows
@@ -35,9 +43,13 @@ def numbered(
     path = scratch_path(df.sparkSession, "numbered")
     ranged.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
     placed = df.sparkSession.read.parquet(path).withColumn("_task", F.shiftright("_at", _TASK_BITS))
+    if weight:
+        # the rows of one range, which a task has written, are summed up by one
+        own = Window.partitionBy("_task", *keys[: len(groups)]).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        placed = placed.withColumn("_within", F.coalesce(F.sum(weight).over(own), F.lit(0)))
     own = [F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(groups)]
     names = [f"_g{i}" for i in range(len(groups))]
-    counts = placed.groupBy(*own, "_task").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    counts = placed.groupBy(*own, "_task").agg(F.min("_at").alias("_first"), (F.sum(weight) if weight else F.count("*")).alias("_rows"))
     within = Window.partitionBy(*names)
     before = within.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(
@@ -50,5 +62,6 @@ def numbered(
     same = F.col("_task") == F.col("_t")
     for i, c in enumerate(groups):
         same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_g{i}"))
-    position = F.col("_at") - F.col("_first") + F.col("_before")
-    return placed.join(counts, same).withColumn(name, position).drop("_at", "_task", "_t", "_first", "_before", *names)
+    position = (F.col("_within") if weight else F.col("_at") - F.col("_first")) + F.col("_before")
+    numbers = placed.join(counts, same).withColumn(name, position)
+    return numbers.drop("_at", "_task", "_t", "_first", "_before", "_within", *names)

@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gradin.functions.scores import group_slug, is_played
@@ -112,12 +112,19 @@ def read_source_documents(
     }
 
 
-def raw_with_lineage(spark: SparkSession, landed: str, table: str, batch_id: str) -> DataFrame:
-    """One landing table, all columns text, with lineage."""
+def raw_with_lineage(
+    spark: SparkSession, landed: str, table: str, batch_id: str, damaged: Observation | None = None
+) -> DataFrame:
+    """One landing table, all columns text, with lineage.
+
+    `damaged` counts, while the table is written, the lines that do not belong in it.
+    """
     columns = LANDING_COLUMNS[table]
-    # Files in a folder per group would bring the folder along as a column.
-    raw = landing.read_raw_csv(spark, landing_path(landed, table), columns).select(*columns)
-    return with_lineage(raw, batch_id, source_file=f"{table}.csv")
+    raw = landing.read_lines(spark, landing_path(landed, table), columns)
+    if damaged is not None:
+        raw = raw.observe(damaged, F.count(landing.CORRUPT).alias("lines"))
+    raw = raw.where(F.col(landing.CORRUPT).isNull())
+    return with_lineage(raw, batch_id, source_file=f"{table}.csv").drop(landing.CORRUPT, "_metadata")
 
 
 def write_layer(
@@ -140,29 +147,38 @@ def ingest_bronze(
     """Land files as Parquet. Lines with another number of fields than there are columns go to
     the batch's table `rejected` (table, file, record)."""
     tables = list(tables)
-    raw = {t: raw_with_lineage(spark, landed, t, batch_id) for t in tables}
+    damaged = {t: Observation(f"damaged_{t}") for t in tables}
+    raw = {t: raw_with_lineage(spark, landed, t, batch_id, damaged[t]) for t in tables}
+    written = write_layer(spark, out, "bronze", raw, batch_id)
+    # only files that have such lines are read again for them
     bad = [
         landing.rejected_rows(spark, landing_path(landed, t), LANDING_COLUMNS[t]).select(
             F.lit(t).alias("table"), "file", "record"
         )
         for t in tables
+        if damaged[t].get["lines"]
     ]
-    raw["rejected"] = reduce(DataFrame.unionByName, bad)
-    written = write_layer(spark, out, "bronze", raw, batch_id)
+    none = spark.createDataFrame([], "table string, file string, record string")
+    rejected = {"rejected": reduce(DataFrame.unionByName, bad, none)}
+    written |= write_layer(spark, out, "bronze", rejected, batch_id)
     snapshot.publish(spark, out, "bronze", batch_id)
     return written
 
 
 def read_tables(
-    spark: SparkSession, out: str, layer: str, tables: Iterable[str]
+    spark: SparkSession, out: str, layer: str, tables: Iterable[str], batch: str | None = None
 ) -> dict[str, DataFrame]:
-    return {name: snapshot.read_layer(spark, out, layer, name) for name in tables}
+    """Tables of one batch, by default of the one published last, which is looked up once."""
+    batch = batch or snapshot.published(spark, out, layer)
+    return {name: snapshot.read_layer(spark, out, layer, name, batch) for name in tables}
 
 
-def run_silver(spark: SparkSession, out: str, batch_id: str | None = None) -> dict[str, DataFrame]:
-    """Silver tables from the bronze tables that were published."""
+def run_silver(
+    spark: SparkSession, out: str, batch_id: str | None = None, source: str | None = None
+) -> dict[str, DataFrame]:
+    """Silver tables from the bronze tables of batch `source`, by default the one published last."""
     batch_id = batch_id or new_batch_id()
-    bronze = read_tables(spark, out, "bronze", SILVER)
+    bronze = read_tables(spark, out, "bronze", SILVER, source)
     written = write_layer(spark, out, "silver", build_all_silver(bronze), batch_id)
     snapshot.publish(spark, out, "silver", batch_id)
     return written
@@ -175,8 +191,9 @@ def run_gold(
     batch_id: str | None = None,
     bits: int = 32,
     one_per_match: bool = False,
+    source: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Star tables from the silver tables that were published.
+    """Star tables from the silver tables of batch `source`, by default the one published last.
 
     Row rules are counted while the tables are written, before values that do not fit their
     declared type become NULL; keys are checked on what was written. The batch's table
@@ -185,7 +202,7 @@ def run_gold(
     """
     batch_id = batch_id or new_batch_id()
     declared = star_tables(bits)
-    star = build_star(read_tables(spark, out, "silver", SILVER), bits, one_per_match)
+    star = build_star(read_tables(spark, out, "silver", SILVER, source), bits, one_per_match)
     counted = {name: RowRules(declared[name], df) for name, df in star.items()}
     loaded = {name: conform(counted[name].frame, declared[name]) for name in star}
     written = write_layer(spark, out, "gold", loaded, batch_id)
@@ -210,8 +227,17 @@ def run_layers(
     one_per_match: bool = False,
 ) -> dict[str, DataFrame]:
     """All layers from landing files, each begun when the one before is complete; gives
-    back the written star tables."""
+    back the written star tables.
+
+    A layer that has published the batch is not run again: a run that failed, begun again with the
+    same `batch_id`, goes on with the layer that failed. Every layer reads the batch's own tables,
+    whatever others publish meanwhile.
+    """
     batch_id = batch_id or new_batch_id()
-    ingest_bronze(spark, landed, out, batch_id)
-    run_silver(spark, out, batch_id)
-    return run_gold(spark, out, strict, batch_id, bits, one_per_match)
+    if not snapshot.is_published(spark, out, "bronze", batch_id):
+        ingest_bronze(spark, landed, out, batch_id)
+    if not snapshot.is_published(spark, out, "silver", batch_id):
+        run_silver(spark, out, batch_id, batch_id)
+    if not snapshot.is_published(spark, out, "gold", batch_id):
+        return run_gold(spark, out, strict, batch_id, bits, one_per_match, batch_id)
+    return read_tables(spark, out, "gold", star_tables(bits), batch_id)

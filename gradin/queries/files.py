@@ -148,7 +148,7 @@ def load_report(spark, sf):
     return snapshot.load_report({t: table(spark, sf, t) for t in _COUNTED})
 
 
-def _land_all(spark, sf, root: str, status=None) -> None:
+def land_all(spark, sf, root: str, status=None) -> None:
     def write(name: str) -> None:
         df = raw_table(spark, sf, name)
         landing.write_csv(df, landing_path(root, name), LANDING_COLUMNS[name])
@@ -201,7 +201,7 @@ _BRONZE_SQL = {
 def bronze_ingest(spark, sf):
     """All landing tables, every column and the lineage that does not depend on the run."""
     landed, out = scratch_path(spark, "landing"), scratch_path(spark, "layers")
-    _land_all(spark, sf, landed)
+    land_all(spark, sf, landed)
     bronze = ingest_bronze(spark, landed, out, "batch-1")
     del bronze["rejected"]
     return _told_rows(bronze, {t: [*LANDING_COLUMNS[t], "_source_file", "_batch_id"] for t in bronze})
@@ -219,7 +219,7 @@ _STAR_COLUMNS = {name: [c for c in t.column_names if c != "stade_id"] for name,
 def layered_run(spark, sf):
     """Landing files to written star tables, through every layer: all columns but the hash."""
     landed, out = scratch_path(spark, "landing"), scratch_path(spark, "layers")
-    _land_all(spark, sf, landed)
+    land_all(spark, sf, landed)
     return _told_rows(run_layers(spark, landed, out), _STAR_COLUMNS)
 
 
@@ -232,7 +232,7 @@ def layered_run(spark, sf):
 def layered_run_all_played(spark, sf):
     """After the last match nothing is left to play: one side of the routing is empty."""
     landed, out = scratch_path(spark, "landing"), scratch_path(spark, "layers")
-    _land_all(spark, sf, landed, F.lit("FINISHED"))
+    land_all(spark, sf, landed, F.lit("FINISHED"))
     return run_layers(spark, landed, out)["fact_match"].select("match_id", "is_match_joue")
 
 
