@@ -31,8 +31,8 @@ FREE_STEP = 256
 #: tokens that follow.
 AT_ONCE = 1 << 19
 END_ID = 2
-#: Distinct words whose ids a worker remembers, some 40 MB, and how many are encoded at a time.
-REMEMBERED = 1_000_000
+#: Distinct words whose ids a worker remembers, some 15 MB, and how many are encoded at a time.
+REMEMBERED = 400_000
 ENCODED_AT_ONCE = 4096
 #: Bytes of text in a range.
 RANGE_BYTES = 32 << 20
@@ -45,20 +45,23 @@ for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
 
 
 class Remembered:
-    """Ids of words by the words' hashes, in flat arrays of some 40 bytes a word.
+    """Ids of words by the words' hashes, in flat arrays of some 30 bytes a word.
 
     New words wait in a short index of their own, so that the long one is rarely merged. Beyond
     `most` words the half that was used longest ago is forgotten.
     """
 
+    KINDS = (np.uint64, np.uint32, np.uint32, np.uint32)  # hash (ascending), begin, size, last use
+
     def __init__(self, most: int = REMEMBERED):
         self.most, self.now = most, 0
         self.ids = np.zeros(0, np.uint32)
-        empty = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.long, self.short = list(empty), list(empty)  # hash (ascending), begin, size, last use
+        self.long, self.short = ([np.zeros(0, kind) for kind in self.KINDS] for _ in range(2))
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each word's ids begin and how many there are; -1 where it is not known."""
+        if len(self.long[0]) > self.most:
+            self._forget()
         begin, size = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
         self.now += 1
         for tier in (self.long, self.short):
@@ -69,16 +72,16 @@ class Remembered:
                 tier[3][at[hit]] = self.now
         return begin, size
 
-    def learn(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
-        """Hashes ascend and are not known yet."""
+    def learn(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Hashes ascend and are not known yet; gives where their ids begin."""
         begins = len(self.ids) + np.cumsum(sizes) - sizes
         self.ids = np.concatenate([self.ids, ids])
-        self.short = self._merged(self.short, [hashes, begins, sizes, np.full(len(hashes), self.now)])
+        new = hashes, begins, sizes, np.full(len(hashes), self.now)
+        self.short = self._merged(self.short, [c.astype(kind) for c, kind in zip(new, self.KINDS, strict=True)])
         if len(self.short[0]) > self.most // 16:
             self.long = self._merged(self.long, self.short)
-            self.short = [column[:0] for column in self.short]
-            if len(self.long[0]) > self.most:
-                self._forget()
+            self.short = [column[:0].copy() for column in self.short]
+        return begins
 
     @staticmethod
     def _merged(one: list[np.ndarray], two: list[np.ndarray]) -> list[np.ndarray]:
@@ -86,12 +89,16 @@ class Remembered:
         return [np.concatenate([a, b])[order] for a, b in zip(one, two, strict=True)]
 
     def _forget(self) -> None:
-        kept = np.sort(np.argsort(-self.long[3], kind="stable")[: self.most // 2])
+        """Words of the short index stay."""
+        kept = np.sort(np.argsort(self.long[3], kind="stable")[-(self.most // 2) :])
         self.long = [column[kept] for column in self.long]
-        begins, sizes = self.long[1], self.long[2]
-        ends = np.cumsum(sizes)
-        self.ids = self.ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1])]
-        self.long[1] = ends - sizes
+        ids = []
+        for tier in (self.long, self.short):
+            begins, sizes = tier[1].astype(np.int64), tier[2].astype(np.int64)
+            ends = np.cumsum(sizes)
+            ids.append(self.ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(sizes.sum())])
+            tier[1] = (ends - sizes + (len(ids[0]) if len(ids) > 1 else 0)).astype(np.uint32)
+        self.ids = np.concatenate(ids)
 
 
 class Tokens:
@@ -151,12 +158,8 @@ class Tokens:
             held = lower.tobytes()
             spans = zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)
             new_sizes, new_ids = self._encoded([held[a:b].decode() for a, b in spans])
-            begins[new] = len(self.known.ids) + np.cumsum(new_sizes) - new_sizes
-            sizes[new] = new_sizes
-            flat = np.concatenate([self.known.ids, new_ids])
-            self.known.learn(hashes[new], new_sizes, new_ids)
-        else:
-            flat = self.known.ids
+            begins[new], sizes[new] = self.known.learn(hashes[new], new_sizes, new_ids), new_sizes
+        flat = self.known.ids
         of_unit = sizes[which]
         unit_first = np.concatenate([[0], np.cumsum(of_unit)])
         ids = flat[np.repeat(begins[which] - unit_first[:-1], of_unit) + np.arange(unit_first[-1])]
@@ -299,7 +302,7 @@ def pack(
 
         for batch in batches:
             shards, doc_ids = batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist()
-            for begin, texts in pieces(batch.column("text"), 1 << 20):
+            for begin, texts in pieces(batch.column("text")):
                 for i, ids in enumerate(own.of(texts), begin):
                     out = []
                     if packer is None or packer.shard != shards[i]:
