@@ -108,6 +108,18 @@ def _canonical(turns: Column) -> Column:
     return F.coalesce(F.transform(F.filter(turns, lambda t: t.isNotNull()), named), F.array().cast(TURNS))
 
 
+def layout_of(chats: DataFrame, id_column: str, layouts: Sequence[Layout] = LAYOUTS) -> Layout:
+    """The layout that the fingerprint of the table's nested fields selects."""
+    paths = field_paths(chats.schema)
+    by_rows = next((x for x in layouts if x.rows and set(x.paths) <= set(paths)), None)
+    known = {x.print: x for x in layouts}
+    own = [p for p in paths if p.split(".")[0].removesuffix("[]") != id_column]
+    layout = known.get(fingerprint(own)) or known.get(fingerprint(paths)) or by_rows
+    if layout is None:
+        raise ValueError(f"no layout has the fields {sorted(own)}")
+    return layout
+
+
 def canonical_turns(chats: DataFrame, id_column: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
     """(chat_id, turns) of a table in a known layout; `id_column` names the chat's id.
 
@@ -118,13 +130,7 @@ def canonical_turns(chats: DataFrame, id_column: str, layouts: Sequence[Layout]
     are ordered by number, then role, then text, nulls first; all rows of a chat become one
     value, as its format does.
     """
-    paths = field_paths(chats.schema)
-    by_rows = next((x for x in layouts if x.rows and set(x.paths) <= set(paths)), None)
-    known = {x.print: x for x in layouts}
-    own = [p for p in paths if p.split(".")[0].removesuffix("[]") != id_column]
-    layout = known.get(fingerprint(own)) or known.get(fingerprint(paths)) or by_rows
-    if layout is None:
-        raise ValueError(f"no layout has the fields {sorted(own)}")
+    layout = layout_of(chats, id_column, layouts)
     if layout.rows:
         _, number = layout.rows
         row = F.struct(F.col(number).alias("n"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
@@ -249,3 +255,147 @@ def read_chats(chats: DataFrame) -> DataFrame:
 
     kind = rows.schema["chat_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"chat_id {kind}, turns {TURNS}, loss_text string")
+
+
+# ---- chats turn by turn ------------------------------------------------------------------
+
+#: Columns of a turn: its chat, its place by number, role and text as they were, and what they mean.
+_TURN_ROW = ("chat_id", "n", "named", "role", "text")
+
+
+def _turn_rows(chat_id: Column, turns: DataFrame) -> DataFrame:
+    rows = turns.select(chat_id.alias("chat_id"), F.posexplode_outer("turns").alias("n", "turn"))
+    return rows.select(
+        "chat_id", F.col("n").cast("bigint").alias("n"), F.col("turn.role").alias("named"), "turn.role", "turn.text"
+    )
+
+
+def turn_rows(chats: DataFrame, id_column: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
+    """(chat_id, n, named, role, text): a row per turn of a table in any known layout, as
+    `canonical_turns` gives them, but a chat is not gathered into one value.
+
+    `n` orders the turns, then `named`, the role as it was, then the text. A chat without turns
+    has one row without a role.
+    """
+    layout = layout_of(chats, id_column, layouts)
+    if not layout.rows:
+        return _turn_rows(F.col("chat_id"), canonical_turns(chats, id_column, layouts))
+    role, text = F.col("role").cast("string"), F.col("text").cast("string")
+    turn = _canonical(F.array(F.struct(role.alias("role"), text.alias("text"))))[0]
+    rows = chats.select(
+        F.col(id_column).alias("chat_id"), F.col(layout.rows[1]).cast("bigint").alias("n"), role.alias("named"), turn.alias("t")
+    )
+    return rows.select("chat_id", "n", "named", "t.role", "t.text")
+
+
+def json_turn_rows(lines: DataFrame, id_column: str, json: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
+    """The same of JSON lines, each in a layout of its own, beside an id; a line in no layout has no turns."""
+    read = canonical_json(lines.select(F.col(json)).distinct(), json, layouts)
+    ids = lines.select(F.col(id_column).alias("chat_id"), F.col(json).alias("_json"))
+    return _turn_rows(F.col("chat_id"), ids.join(read, F.col("_json").eqNullSafe(F.col("value")), "left"))
+
+
+FORMATTED_TURN = "n bigint, at bigint, formatted string, loss_begin bigint, loss_end bigint"
+
+
+def format_turns(rows: DataFrame, learned: Sequence[str] = ("assistant",)) -> DataFrame:
+    """(chat_id, n, at, formatted, loss_begin, loss_end): the template's text of each turn, in order.
+
+    `rows` is what `turn_rows` gives. `n` numbers the turns of a chat from 0 and `at` is where the turn's text
+    begins in the chat's, in code points; the text of a learned role is under the loss mask from
+    `loss_begin` to `loss_end`, in the same count. The texts of a chat one behind the other are its
+    format, as `format_chats` gives it. A chat's turns meet in one task, which sorts them (and
+    spills) and holds a batch of them at a time, so a chat may hold any share of all rows.
+    """
+    roles = frozenset(learned)
+    order = [F.col(c).asc_nulls_first() for c in ("chat_id", "n", "named", "text")]
+    rows = rows.select(*_TURN_ROW).repartition("chat_id").sortWithinPartitions(*order)
+    kind = rows.schema["chat_id"].dataType.simpleString()
+    names = ["chat_id", "n", "at", "formatted", "loss_begin", "loss_end"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chat, n, at = _NO_CHAT, 0, 0
+        for batch in batches:
+            out: list[list] = [[] for _ in names[1:]]
+            ids = batch.column("chat_id").to_pylist()
+            for own, role, text in zip(ids, batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if own != chat:
+                    chat, n, at = own, 0, 0
+                if role is None:
+                    row = None, at, "", None, None
+                else:
+                    text, spans = formatted([(role, text)], roles)
+                    begin, end = spans[0] if spans else (None, None)
+                    row = n, at, text, None if begin is None else at + begin, None if end is None else at + end
+                    n, at = n + 1, at + len(text)
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("chat_id"), *[pa.array(c, k) for c, k in zip(out, kinds, strict=True)]], names
+            )
+
+    return rows.mapInArrow(run, f"chat_id {kind}, {FORMATTED_TURN}")
+
+
+_NO_CHAT = object()
+
+DIGESTS = (
+    "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+)
+
+
+class _Digest:
+    """What is known of a chat while its turns pass."""
+
+    def __init__(self) -> None:
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.n = self.loss_chars = self.chars = 0
+
+    def add(self, at: int, text: str, begin: int | None, end: int | None) -> None:
+        for role, body in parsed(text):
+            self.turns.update(f"{role}\n{body}\n".encode())
+            self.n += 1
+        if begin is not None:
+            learned = unescaped(text[begin - at : end - at])
+            self.loss.update(learned.encode())
+            self.loss_chars += len(learned)
+        self.chars += len(text)
+
+    def row(self) -> tuple:
+        return self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+
+
+def digest_turns(turns: DataFrame) -> DataFrame:
+    """(chat_id, and the columns of DIGESTS): what is read back from each chat's formatted turns.
+
+    `turns` is what `format_turns` gives, as it lies there: a chat's turns in one task and in order.
+    They are read back and hashed one by one; nothing of a chat is kept but the state of the hashes.
+    """
+    kind = turns.schema["chat_id"].dataType.simpleString()
+    names = ["chat_id", *[c.split()[0] for c in DIGESTS.split(", ")]]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chat, state, id_type = _NO_CHAT, _Digest(), None
+
+        def batch_of(done: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*done, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [id_type, *kinds], strict=True)], names)
+
+        for batch in batches:
+            id_type, done = batch.column("chat_id").type, []
+            for own, at, text, begin, end in zip(
+                *[batch.column(c).to_pylist() for c in ("chat_id", "at", "formatted", "loss_begin", "loss_end")], strict=True
+            ):
+                if own != chat:
+                    if chat is not _NO_CHAT:
+                        done.append((chat, *state.row()))
+                    chat, state = own, _Digest()
+                state.add(at, text, begin, end)
+            if done:
+                yield batch_of(done)
+        if chat is not _NO_CHAT:
+            yield batch_of([(chat, *state.row())])
+
+    return turns.mapInArrow(run, f"chat_id {kind}, {DIGESTS}")
