@@ -7,21 +7,23 @@ is exact, and the corpus is tested without a join: a level is one value, an arra
 
 Keys are dealt by a hash into shards of bounded size, each with its own cascade, so no value
 that is sent to all tasks exceeds SHARD_KEYS keys' bits, whatever the length of the list. With
-several shards the corpus is read once for each, its own keys only.
+several shards the corpus is read once and laid out by shard; one shard after the other is built
+over its own keys and tested on its own rows, so work and plans do not grow with their number.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradin.llm.graph import written
+from gradin.session import scratch_path
 
-#: Listed keys of a shard; with BITS_PER_KEY that is 2 MB to a level.
-SHARD_KEYS = 1_000_000
+#: Listed keys of a shard; with BITS_PER_KEY that is 8 MB to a level.
+SHARD_KEYS = 4_000_000
 BITS_PER_KEY, HASHES = 16, 4
 CHUNK = 1024
 
@@ -93,42 +95,69 @@ def _bits(count: int) -> int:
 
 @dataclass
 class Cascade:
-    shards: list[list[tuple[DataFrame, int]]]  #: of each shard the keys and the bits of each level
+    """The levels of one shard: of each the keys that it holds, and its bits."""
 
-    def shard(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(len(self.shards)))
+    levels: list[tuple[DataFrame, int]]
 
-    def holds(self, key: Column, shard: int = 0) -> Column:
-        """Whether the list has the key; for keys of the shard that the cascade was built over."""
-        levels = self.shards[shard]
-        verdict = F.lit(len(levels) % 2 == 1)
-        for i in range(len(levels), 0, -1):
-            keys, bits = levels[i - 1]
+    def holds(self, key: Column) -> Column:
+        """Whether the list has the key; for keys that the cascade was built over."""
+        verdict = F.lit(len(self.levels) % 2 == 1)
+        for i in range(len(self.levels), 0, -1):
+            keys, bits = self.levels[i - 1]
             inside = _holds(_level(keys, i, bits), key, i, bits)
             verdict = F.when(inside, verdict).otherwise(F.lit(i % 2 == 0))
         return verdict
 
 
-def cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
-    """Build over all distinct keys of the corpus (`universe`) and those listed; both have one
-    column `key`. Null keys are left out, and listed keys that the corpus lacks are kept."""
+def cascade(listed: DataFrame, others: DataFrame) -> Cascade:
+    """Build over listed keys and the corpus's other keys; both have one column `key`, distinct."""
+    out = Cascade([])
+    # what the next level has to hold, and what it must not
+    inner, outer, size = listed, others, listed.count()
+    while size:
+        level, bits = len(out.levels) + 1, _bits(size)
+        out.levels.append((inner, bits))
+        wrong = written(outer.where(_holds(_level(inner, level, bits), F.col("key"), level, bits)), "wrong")
+        inner, outer, size = wrong, inner, wrong.count()
+    return out
+
+
+def _dealt(rows: DataFrame, shards: int, label: str) -> Callable[[int], DataFrame]:
+    """The rows of a shard by its number, from a table that is laid out by it."""
+    if shards == 1:
+        kept = written(rows, label)
+        return lambda _: kept
+    path, spark = scratch_path(rows.sparkSession, label), rows.sparkSession
+    shard = F.pmod(F.xxhash64("key", F.lit(-1)), F.lit(shards)).alias("shard")
+    # ranges of shard and key: few files to a shard, and a shard of any size in many tasks
+    ranged = rows.select("*", shard).repartitionByRange("shard", F.xxhash64("key"))
+    ranged.write.partitionBy("shard").parquet(path)
+    kept = spark.read.schema(ranged.schema).parquet(path)
+    return lambda s: kept.where(F.col("shard") == s).drop("shard")
+
+
+def with_listed(rows: DataFrame, listed: DataFrame, shard_keys: int | None = None) -> DataFrame:
+    """The rows, which have a column `key`, with `listed`: whether `listed` (column `key`) has it.
+
+    Null keys of the list are left out, and a row without a key is not listed. Listed keys that the
+    rows lack are kept. Equal keys are one key, however many rows have it.
+    """
     listed = written(listed.where("key IS NOT NULL").select("key").distinct(), "listed")
-    count = listed.count()
-    shards = max(1, -(-count // SHARD_KEYS))
-    out = Cascade([[] for _ in range(shards)])
-    others = universe.where("key IS NOT NULL").select("key").distinct().join(listed, "key", "left_anti")
-    others = written(others, "others")
+    shards = max(1, -(-listed.count() // (shard_keys or SHARD_KEYS)))
+    others = rows.where("key IS NOT NULL").select("key").distinct().join(listed, "key", "left_anti")
+    listed_of, others_of = _dealt(listed, shards, "listed"), _dealt(others, shards, "others")
+
+    def tested(part: DataFrame, s: int) -> DataFrame:
+        holds = cascade(listed_of(s), others_of(s)).holds(F.col("key"))
+        return part.withColumn("listed", F.coalesce(holds, F.lit(False)))
+
+    if shards == 1:
+        return tested(rows, 0)
+    rows_of, path = _dealt(rows.where("key IS NOT NULL"), shards, "rows"), scratch_path(rows.sparkSession, "tested")
     for s in range(shards):
-        # what the next level has to hold, and what it must not
-        inner, outer = (t.where(out.shard(F.col("key")) == s) for t in (listed, others))
-        size = inner.count()
-        while size:
-            level = len(out.shards[s]) + 1
-            bits = _bits(size)
-            out.shards[s].append((inner, bits))
-            wrong = written(outer.where(_holds(_level(inner, level, bits), F.col("key"), level, bits)), "wrong")
-            inner, outer, size = wrong, inner, wrong.count()
-    return out
+        tested(rows_of(s), s).write.parquet(f"{path}/shard={s}")
+    found = rows.sparkSession.read.parquet(path).drop("shard")
+    return found.unionByName(rows.where("key IS NULL").withColumn("listed", F.lit(False)))
 
 
 def judge(
@@ -137,6 +166,7 @@ def judge(
     blocked: DataFrame,
     page_id: str = "page_id",
     url: str = "url",
+    shard_keys: int | None = None,
 ) -> DataFrame:
     """page_id, host, path, rule and verdict, one row per input row.
 
@@ -148,15 +178,7 @@ def judge(
     u = F.col(url)
     rows = pages.select(F.col(page_id).alias("page_id"), host_of(u).alias("host"), path_of(u).alias("path"))
     rows = rows.withColumn("key", F.concat("host", "path"))
-    listing = cascade(blocked, rows.select("key"))
-    shard = listing.shard(F.col("key"))
-    parts = [
-        (rows if len(listing.shards) == 1 else rows.where(shard == s)).withColumn("listed", listing.holds(F.col("key"), s))
-        for s in range(len(listing.shards))
-    ]
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
+    out = with_listed(rows, blocked, shard_keys)
     out = out.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     verdict = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
     for r in rules:
