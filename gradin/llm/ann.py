@@ -5,11 +5,15 @@ size with few edges between them, and a small network learns which parts a vecto
 are in. Every row is indexed in its most probable part. A query goes to its most probable parts,
 as many as the sample needed for the wished recall and on until they hold as many rows as are
 wanted, and is compared there with every row.
+
+A part with more rows than a bound is split again in the same way, by a router of its own, which is
+taught by a sample of the part where that lies. So the rows that a query meets are bounded.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,11 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gradin.llm.graph import written
+from gradin.operators.ranking import first_rows
 
 SAMPLE = 8192
 #: There are sqrt(rows) / PART_SCALE parts: with a fixed number of rows to a part, what queries
-#: find in all their parts would grow with the square of the input. The sample teaches MOST_PARTS.
+#: find in all their parts would grow with the square of the input. A sample teaches MOST_PARTS.
 PART_SCALE, MOST_PARTS = 16, 256
+#: Rows of a part that is not split again; the parts have some when there are MOST_PARTS of them.
+MOST_ROWS = 1 << 16
 NEIGHBOURS = 10
 #: Recall on the sample that fixes how many parts a query goes to.
 WANTED = 0.97
@@ -45,6 +52,55 @@ class Router:
         return _forward(x, self.first, self.second)[1]
 
 
+@dataclass
+class Forest:
+    """Routers of two levels: to parts, and within those that are split again to leaves.
+
+    A leaf's number is its part's times MOST_PARTS, and its own in it.
+    """
+
+    root: Router | None
+    inner: dict[int, Router]
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        """The most probable leaf of each row."""
+        if self.root is None or not len(x):
+            return np.zeros(len(x), np.int64)
+        part = self.root.probabilities(x).argmax(axis=1)
+        leaf = part * MOST_PARTS
+        for p in np.unique(part):
+            if p in self.inner:
+                own = part == p
+                leaf[own] += self.inner[p].probabilities(x[own]).argmax(axis=1)
+        return leaf
+
+    def asked(self, x: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> list[np.ndarray]:
+        """The leaves that each row goes to: those of its most probable parts, and on until they hold as
+        many rows as it wants. `sizes` has the rows of each leaf."""
+        out: list[list[np.ndarray]] = [[] for _ in x]
+        if self.root is None or not len(x):
+            return [np.zeros(1, np.int64) for _ in x]
+        order = np.argsort(-self.root.probabilities(x), axis=1, kind="stable")
+        have = np.zeros(len(x), np.int64)
+        for rank in range(order.shape[1]):
+            open_ = np.flatnonzero((rank < self.root.probes) | (have < wanted))
+            if not len(open_):
+                break
+            for p in np.unique(order[open_, rank]):
+                rows = open_[order[open_, rank] == p]
+                if p not in self.inner:
+                    leaves, many = np.full((len(rows), 1), p * MOST_PARTS), np.ones(len(rows), np.int64)
+                else:
+                    inner = self.inner[p]
+                    leaves = p * MOST_PARTS + np.argsort(-inner.probabilities(x[rows]), axis=1, kind="stable")
+                    short = (have[rows, None] + np.cumsum(sizes[leaves], axis=1) < wanted[rows, None]).sum(axis=1)
+                    many = np.minimum(np.maximum(inner.probes, short + 1), leaves.shape[1])
+                for i, own, n in zip(rows, leaves, many, strict=True):
+                    out[i].append(own[:n])
+                    have[i] += sizes[own[:n]].sum()
+        return [np.concatenate(own) for own in out]
+
+
 def _forward(x: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     hidden = np.maximum(0, x @ first[:-1] + first[-1])
     logit = hidden @ second[:-1] + second[-1]
@@ -204,6 +260,36 @@ def _nearest(k: int):
     return run
 
 
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    n = batch.num_rows
+    return np.array(batch.column("v").flatten()).reshape(n, -1) if n else np.zeros((0, 0))
+
+
+def _inner_routers(
+    index: DataFrame, large: dict[int, int], k: int, wanted: float, sample: int, most_rows: int
+) -> dict[int, Router]:
+    """A router for each part with too many rows, taught in the tasks by `sample` rows of the part at
+    most: the first by a hash, of those below a hash that leaves some twice as many."""
+    table = [(p, float(2 * sample / n), min(MOST_PARTS, -(-n // most_rows))) for p, n in large.items()]
+    spark, h = index.sparkSession, F.xxhash64("vec_id", "v")
+    table = F.broadcast(spark.createDataFrame(table, "part bigint, share double, inner bigint"))
+    rows = index.join(table, "part").withColumn("h", h)
+    low = F.shiftrightunsigned("h", 11) / float(1 << 53) < F.col("share")
+    rows = rows.where(low).select("part", "inner", F.shiftrightunsigned("h", 11).alias("h"), "vec_id", "v")
+    rows = first_rows(rows, ["part"], [F.col("h"), F.col("vec_id")], sample)
+
+    def taught(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("rank")
+        x = _matrix(own["v"])
+        parts = max(1, min(int(own["inner"].iloc[0]), len(x) // 32))
+        router = fit(x, parts, k, wanted) if parts > 1 else None
+        return pd.DataFrame({"part": own["part"].iloc[:1], "router": [pickle.dumps(router)]})
+
+    found = rows.groupBy("part").applyInPandas(taught, "part bigint, router binary").collect()  # at most MOST_PARTS
+    routers = {r["part"] // MOST_PARTS: pickle.loads(r["router"]) for r in found}
+    return {p: router for p, router in routers.items() if router is not None}
+
+
 def search(
     vectors: DataFrame,
     query,
@@ -212,6 +298,7 @@ def search(
     embedding: str = "embedding",
     sample: int = SAMPLE,
     wanted: float = WANTED,
+    most_rows: int = MOST_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id and score: the nearest rows of each row that fulfils `query`.
 
@@ -221,7 +308,7 @@ def search(
     length is not the commonest one, nor null ids. With fewer than k candidates all are
     returned; repeated rows are candidates each, and one query. Several vectors under one query id are one
     query: a candidate is as near as to the nearest of them. At most `sample` rows, the first by a hash,
-    teach the router. Other columns are not read.
+    teach the router; parts of more than `most_rows` rows are split again. Other columns are not read.
     """
     rows = written(usable(vectors, vec_id, embedding).where("vec_id IS NOT NULL"), "vectors")
     common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -230,50 +317,49 @@ def search(
     taught = rows.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("v")).limit(sample).toPandas()
     x = _matrix(taught["v"])
     parts = max(1, min(MOST_PARTS, math.ceil(math.sqrt(total) / PART_SCALE), len(x) // 32))
-    router = fit(x, parts, k, wanted) if parts > 1 else None
-    held = rows.sparkSession.sparkContext.broadcast(router)
+    forest = Forest(fit(x, parts, k, wanted) if parts > 1 else None, {})
+    kind = "vec_id bigint, v array<double>"
 
-    def routed(sizes: np.ndarray | None):
-        """To the most probable part; with the parts' sizes, to as many as a query needs."""
+    def dealt_home(rows: DataFrame, forest: Forest) -> DataFrame:
+        held = rows.sparkSession.sparkContext.broadcast(forest)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = held.value
             for batch in batches:
-                n = batch.num_rows
-                if own is None or not n:
-                    order, many = np.zeros((n, 1), np.int64), np.ones(n, np.int64)
-                else:
-                    p = own.probabilities(np.array(batch.column("v").flatten()).reshape(n, -1))
-                    order, many = np.argsort(-p, axis=1, kind="stable"), np.ones(n, np.int64)
-                    if sizes is not None:
-                        # rows with the query's id are no candidates
-                        wanted_rows = k + batch.column("own").to_numpy()[:, None]
-                        short = (np.cumsum(sizes[order], axis=1) < wanted_rows).sum(axis=1)
-                        many = np.minimum(np.maximum(own.probes, short + 1), order.shape[1])
-                ends = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(ends, order[np.arange(order.shape[1])[None, :] < many[:, None]])
-                columns = [batch.column("vec_id"), batch.column("v"), lists]
-                columns += [batch.column("several")] if sizes is not None else []
-                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "v", "parts", "several"][: len(columns)])
-
-        return run
-
-    kind = "vec_id bigint, v array<double>, parts array<bigint>"
-    index = rows.mapInArrow(routed(None), kind).select("vec_id", "v", F.col("parts")[0].alias("part"))
-    index = written(index, "index")
-    sizes = np.zeros(parts, np.int64)
-    for r in index.groupBy("part").count().collect():  # at most MOST_PARTS rows
-        sizes[r["part"]] = r["count"]
+                leaf = held.value.home(_vectors(batch))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(leaf)], ["vec_id", "v", "part"])
+
+        return written(rows.select("vec_id", "v").mapInArrow(run, f"{kind}, part bigint"), "index")
+
+    index = dealt_home(rows, forest)
+    counts = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}  # at most MOST_PARTS rows
+    if large := {p: n for p, n in counts.items() if n > most_rows}:
+        forest.inner = _inner_routers(index, large, k, wanted, sample, most_rows)
+        index = dealt_home(index, forest)
+        counts = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}  # MOST_PARTS squared
+    sizes = np.zeros(max([0, *counts]) // MOST_PARTS * MOST_PARTS + MOST_PARTS * max(1, parts), np.int64)
+    sizes[list(counts)] = list(counts.values())
+    held = rows.sparkSession.sparkContext.broadcast((forest, sizes))
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forest, sizes = held.value
+            # rows with the query's id are no candidates
+            leaves = forest.asked(_vectors(batch), sizes, k + batch.column("own").to_numpy())
+            ends = np.concatenate([[0], np.cumsum([len(own) for own in leaves])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(ends, np.concatenate([*leaves, np.zeros(0, np.int64)]))
+            columns = [batch.column("vec_id"), batch.column("v"), lists, batch.column("several")]
+            yield pa.RecordBatch.from_arrays(columns, ["vec_id", "v", "parts", "several"])
+
     queries = rows.where(query(F.col("vec_id"))).groupBy("vec_id", "v").agg(F.count("*").alias("times"))
     many = queries.groupBy("vec_id").agg(F.sum("times").alias("own"), (F.count("*") > 1).alias("several"))
     queries = queries.join(many, "vec_id").select("vec_id", "v", "own", "several")
-    asked = queries.mapInArrow(routed(sizes), kind + ", several boolean")
+    asked = queries.mapInArrow(routed, f"{kind}, parts array<bigint>, several boolean")
     asked = written(asked.select("vec_id", "v", "several", F.explode("parts").alias("part")), "asked")
     # a part meets its queries in a grid of blocks, both of bounded size
     blocks = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).alias("c")).join(
         asked.groupBy("part").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("q")), "part"
     )
-    grid = {r["part"]: (r["c"], r["q"]) for r in blocks.collect()}  # at most MOST_PARTS rows
+    grid = {r["part"]: (r["c"], r["q"]) for r in blocks.collect()}  # a row for each part
     table = rows.sparkSession.createDataFrame([(p, c, q) for p, (c, q) in grid.items()], "part bigint, c bigint, q bigint")
     table = F.broadcast(table)
     spot = F.xxhash64("vec_id", "v")
