@@ -42,6 +42,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--strict", action="store_true", help="stop at a broken constraint")
     parser.add_argument("--rejects", help="folder for damaged documents; without it they stop the run")
     parser.add_argument("--key-bits", type=int, choices=(32, 64), default=32, help="of venue keys")
+    parser.add_argument("--key-map", action="store_true", help="keep venue keys from batch to batch, without hashes")
     parser.add_argument("--one-per-match", action="store_true", help="keep the played row of a match")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-schema", default="public")
@@ -76,7 +77,7 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         layers.run_silver(spark, given.out, batch, source("bronze"))
     if due("gold"):
         gold = layers.run_gold(
-            spark, given.out, given.strict, batch, given.key_bits, given.one_per_match, source("silver")
+            spark, given.out, given.strict, batch, given.key_bits, given.one_per_match, source("silver"), given.key_map
         )
         snapshot.load_report(gold).show(truncate=False)
     if "clean" in given.steps:

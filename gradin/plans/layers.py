@@ -20,7 +20,7 @@ from gradin.operators.quality import RowRules, key_report, require_clean
 from gradin.operators.repair import conform
 from gradin.plans.football import LANDING_COLUMNS, LANDING_FILES, SILVER
 from gradin.plans.silver import build_all_silver
-from gradin.plans.star import build_star, star_tables
+from gradin.plans.star import build_star, star_tables, venue_keys
 from gradin.sources import documents, landing, snapshot
 from gradin.sources.lineage import new_batch_id, with_lineage
 
@@ -192,17 +192,20 @@ def run_gold(
     bits: int = 32,
     one_per_match: bool = False,
     source: str | None = None,
+    key_map: bool = False,
 ) -> dict[str, DataFrame]:
     """Star tables from the silver tables of batch `source`, by default the one published last.
 
     Row rules are counted while the tables are written, before values that do not fit their
     declared type become NULL; keys are checked on what was written. The batch's table
     `constraint_report` has the result. With `strict` a broken constraint raises, and the
-    batch is not published: what was published before stays.
+    batch is not published: what was published before stays. With `key_map` venues have bigint keys
+    that are kept below `out` from batch to batch, in place of hashes.
     """
     batch_id = batch_id or new_batch_id()
-    declared = star_tables(bits)
-    star = build_star(read_tables(spark, out, "silver", SILVER, source), bits, one_per_match)
+    declared = star_tables(64 if key_map else bits)
+    keys = venue_keys(spark, f"{out.rstrip('/')}/keys/dim_stade") if key_map else None
+    star = build_star(read_tables(spark, out, "silver", SILVER, source), bits, one_per_match, keys)
     counted = {name: RowRules(declared[name], df) for name, df in star.items()}
     loaded = {name: conform(counted[name].frame, declared[name]) for name in star}
     written = write_layer(spark, out, "gold", loaded, batch_id)
@@ -225,6 +228,7 @@ def run_layers(
     strict: bool = False,
     bits: int = 32,
     one_per_match: bool = False,
+    key_map: bool = False,
 ) -> dict[str, DataFrame]:
     """All layers from landing files, each begun when the one before is complete; gives
     back the written star tables.
@@ -239,5 +243,5 @@ def run_layers(
     if not snapshot.is_published(spark, out, "silver", batch_id):
         run_silver(spark, out, batch_id, batch_id)
     if not snapshot.is_published(spark, out, "gold", batch_id):
-        return run_gold(spark, out, strict, batch_id, bits, one_per_match, batch_id)
+        return run_gold(spark, out, strict, batch_id, bits, one_per_match, batch_id, key_map)
     return read_tables(spark, out, "gold", star_tables(bits), batch_id)

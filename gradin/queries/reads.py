@@ -192,6 +192,24 @@ def venue_key_map(spark, sf):
     return keys.assign(rows.where("lot = 0"))
 
 
+@register(
+    "star_key_map",
+    f"WITH m AS ({_BOTH}), v AS (SELECT stade, ville, row_number() OVER (ORDER BY stade NULLS FIRST, ville NULLS FIRST)"
+    " AS stade_id FROM (SELECT DISTINCT stade, ville FROM m WHERE stade IS NOT NULL OR ville IS NOT NULL))"
+    " SELECT match_id, v.stade_id, v.stade AS nom_stade, v.ville FROM m LEFT JOIN v ON v.stade IS NOT DISTINCT FROM m.stade"
+    " AND v.ville IS NOT DISTINCT FROM m.ville",
+)
+def star_key_map(spark, sf):
+    """Matches and the venues that their kept keys lead to."""
+    silver = {n: silver_of(spark, sf, n) for n in ("matchs_joues", "matchs_non_joues")}
+    out = scratch_path(spark, "silver")
+    silver = layers.write_layer(spark, out, "silver", silver, "batch-1")
+    matches, keys = tuple(silver.values()), star.venue_keys(spark, scratch_path(spark, "keys"))
+    keys.assign(star.distinct_union(matches, star.VENUE))
+    facts = star.fact_match(*matches, keys=keys).select("match_id", "stade_id")
+    return facts.join(star.dim_venue(*matches, keys=keys), "stade_id", "left")
+
+
 _SENT = ["groupe", "equipe_id", "points", "forme"]
 _SENT_SQL = [f"nullif({c}, '') AS {c}" for c in _SENT]
 

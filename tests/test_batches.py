@@ -127,3 +127,26 @@ def test_a_run_that_failed_in_gold_goes_on_there(spark, tmp_path, monkeypatch):
     assert ran == ["run_gold"] and gold["dim_equipe"].count() == 3
     again = layers.run_layers(spark, landed, out, "run")
     assert ran == ["run_gold"] and again["dim_equipe"].count() == 3
+
+
+def test_venues_keep_their_keys_from_batch_to_batch(spark, tmp_path):
+    import json
+
+    for kind, docs in DOCUMENTS.items():
+        (tmp_path / "json" / kind).mkdir(parents=True)
+        (tmp_path / "json" / kind / "d.json").write_text("\n".join(map(json.dumps, docs)))
+    landed, out = f"{tmp_path}/DATA", f"{tmp_path}/out"
+    layers.extract(layers.read_source_documents(spark, f"{tmp_path}/json"), landed)
+    one = layers.run_layers(spark, landed, out, "one", key_map=True)
+    first = {(r.nom_stade, r.ville): r.stade_id for r in one["dim_stade"].collect()}
+    assert sorted(first.values()) == list(range(1, len(first) + 1))
+    assert dict(one["fact_match"].dtypes)["stade_id"] == "bigint"
+    assert {r.stade_id for r in one["fact_match"].collect()} <= {*first.values(), None}
+    matches = layers.read_tables(spark, out, "silver", layers.SILVER, "one")
+    more = matches | {"matchs_joues": matches["matchs_joues"].replace(list({k[1] for k in first if k[1]}), "A first city", "ville")}
+    layers.write_layer(spark, out, "silver", more, "two")
+    snapshot.publish(spark, out, "silver", "two")
+    two = layers.run_gold(spark, out, batch_id="two", source="two", key_map=True)
+    second = {(r.nom_stade, r.ville): r.stade_id for r in two["dim_stade"].collect()}
+    assert all(second[k] == first[k] for k in set(first) & set(second))
+    assert min(second[k] for k in set(second) - set(first)) > max(first.values())
