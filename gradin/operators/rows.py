@@ -40,6 +40,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]
     ]
     ranked = Window.partitionBy(*keys).orderBy(*(newest + others or [F.lit(0)]))
     rank = "_rank"
+    while rank in df.columns:
+        rank += "_"
     return df.withColumn(rank, F.row_number().over(ranked)).where(F.col(rank) == 1).drop(rank)
 
 
