@@ -234,16 +234,17 @@ def _nearest(k: int):
     """The k best candidates of each query among a block's."""
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out: list[list[np.ndarray]] = [[] for _ in FOUND]
         if len(queries) and len(rows):
             rows = rows.sort_values(["vec_id", "spot"], kind="stable")
             ids, y, to = rows["vec_id"].to_numpy(), _matrix(rows["v"]), rows["spot"].to_numpy()
-            nth = rows.groupby(["vec_id", "spot"]).cumcount().to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (to[1:] != to[:-1])]))
+            nth = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+            own, name, several = (queries[c].to_numpy() for c in ("vec_id", "spot", "several"))
             for a in range(0, len(queries), 256):
-                own, x = queries["vec_id"].to_numpy()[a : a + 256], _matrix(queries["v"].iloc[a : a + 256])
-                name, several = (queries[c].to_numpy()[a : a + 256] for c in ("spot", "several"))
+                x = _matrix(queries["v"].iloc[a : a + 256])
                 rough = x @ y.T
-                rough[own[:, None] == ids[None, :]] = -np.inf
+                rough[own[a : a + 256, None] == ids[None, :]] = -np.inf
                 # what may tie with the last of the best is scored again by a fixed order of sums
                 floor = np.partition(rough, -min(k, len(ids)), axis=1)[:, -min(k, len(ids))]
                 slack = 1e-12 * np.sqrt((x**2).sum(axis=1) * (y**2).sum(axis=1).max())
@@ -253,9 +254,10 @@ def _nearest(k: int):
                     score = (y[near] * x[i]).sum(axis=1)
                     best = np.lexsort((ids[near], -score))[:k]
                     near, score = near[best], score[best]
-                    columns = own[i], name[i], ids[near], to[near], nth[near], score, several[i]
-                    out.append(pd.DataFrame(dict(zip(FOUND, columns, strict=True))))
-        return pd.concat(out) if out else pd.DataFrame({c: [] for c in FOUND}).astype("int64")
+                    same = [np.full(len(near), c[a + i]) for c in (own, name, several)]
+                    for column, values in zip(out, (*same[:2], ids[near], to[near], nth[near], score, same[2]), strict=True):
+                        column.append(values)
+        return pd.DataFrame({c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in zip(FOUND, out, strict=True)})
 
     return run
 
@@ -374,7 +376,7 @@ def search(
     found = met.applyInPandas(_nearest(k), ", ".join(f"`{c}` {kind}" for c, kind in FOUND.items()))
     nearest = [F.desc("score"), "vec_id", "to", "nth"]
     best = Window.partitionBy("query_id", "spot").orderBy(*nearest)
-    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    found = written(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "found")
     # of several vectors under one query id the nearest of any counts
     joint = found.where("several").groupBy("query_id", "vec_id", "to", "nth").agg(F.max("score").alias("score"))
     joint = joint.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*nearest)))
