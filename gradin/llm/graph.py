@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from gradin.session import scratch_path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """The rows as a table in the shared folder, so that no lost executor repeats their work."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

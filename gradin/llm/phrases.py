@@ -31,7 +31,7 @@ from gradin.operators.numbering import numbered
 from gradin.operators.ranking import first_rows
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 #: Words of a side of a tile, and sides of the square of tiles that are counted densely.
 TILE = 1024
 DENSE = 4
@@ -112,7 +112,7 @@ def _blocks(docs: DataFrame, group: str, text: str) -> DataFrame:
     texts = docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     schema = "lang string, words array<string>, counts array<bigint>, sequence binary"
     out = texts.where("text IS NOT NULL").mapInArrow(run, schema)
-    return written(out.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    return written(out.withColumn("block", F.monotonically_increasing_id()), "blocks", compression="zstd")
 
 
 def neighbours(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -282,8 +282,8 @@ def _pairs_of_blocks(sequences: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
 def _ranked(symbols: DataFrame, order: list[str]) -> DataFrame:
     """The symbols of a level with their number: rank by falling frequency."""
-    symbols = written(symbols.withColumn("less", -F.col("f")), "symbols")
-    return written(numbered(symbols, [], ["less", *order], "id").drop("less"), "ranked")
+    symbols = written(symbols.withColumn("less", -F.col("f")), "symbols", compression="zstd")
+    return written(numbered(symbols, [], ["less", *order], "id").drop("less"), "ranked", compression="zstd")
 
 
 def _phrases(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -335,7 +335,7 @@ def collocations(
     levels = []
     for length in range(2, longest + 1):
         pairs = _ranked(_counted(sequences, least), ["p", "q"])
-        level = written(_phrases(pairs, level), "phrases")
+        level = written(_phrases(pairs, level), "phrases", compression="zstd")
         levels.append(level)
         if length < longest:
             found = _pairs_of_blocks(sequences, _bitmap(pairs))
