@@ -18,5 +18,5 @@ def test_query_matches_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in QUERIES
