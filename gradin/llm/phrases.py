@@ -34,9 +34,9 @@ from gradin.operators.ranking import first_rows
 BLOCK_BYTES = 8 << 20
 #: Words of a side of a tile, and sides of the square of tiles that are counted densely.
 TILE = 1024
-DENSE = 4
+DENSE = 3
 #: Occurrences outside the dense tiles that a task sorts at a time.
-SORTED = 2_000_000
+SORTED = 1_000_000
 #: Occurrences that a task's dense tiles hold in 32 bits before they are given out.
 MOST_SEEN = 1 << 30
 #: Bits of the bitmap of frequent pairs, 8 MB whatever the corpus, in pieces of 32,768.
@@ -67,8 +67,9 @@ def encoded(texts: Texts) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     Places count from 1; a 0 stands between two pieces.
     """
     words = Words.of(texts, _OUTSIDE)
-    inside = LOWER[texts.data][~_OUTSIDE[texts.data]]
-    ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)]).astype(np.int64)
+    inside = texts.data[~_OUTSIDE[texts.data]]
+    inside = LOWER[inside]
+    ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
     column = pa.Array.from_buffers(
         pa.large_string(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(inside)]
     ).dictionary_encode()
@@ -77,7 +78,8 @@ def encoded(texts: Texts) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     order = np.argsort(-counts, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(1, len(order) + 1)
-    before = np.cumsum(_SEPARATES[texts.data])[words.starts] if len(at) else at
+    # how many separators stand before each word
+    before = np.searchsorted(np.flatnonzero(_SEPARATES[texts.data]), words.starts)
     breaks = np.zeros(len(at), bool)
     breaks[1:] = before[1:] != before[:-1]
     begins = words.first[:-1]
@@ -134,6 +136,19 @@ def distinct_pairs(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return p[new], q[new], np.bincount(inverse), inverse
 
 
+def counted_pairs(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs as sorted coordinates and their counts; sorted in place where a pair fits one number."""
+    if len(p) and max(p.max(), q.max()) >= 2**31:
+        return distinct_pairs(p, q)[:3]
+    keys = p << 32
+    keys |= q
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    counts = np.diff(np.append(first, len(keys)))
+    keys = keys[first]
+    return keys >> 32, keys & 0xFFFFFFFF, counts
+
+
 class Tiles:
     """Counts of pairs: dense tiles for the most frequent numbers, sorted coordinates beside them."""
 
@@ -164,7 +179,7 @@ class Tiles:
     def sparse(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         p, q = (np.concatenate(side) for side in zip(*self.rest, strict=True))
         self.rest, self.waiting = [], 0
-        return distinct_pairs(p, q)[:3]
+        return counted_pairs(p, q)
 
     def left(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         if self.rest:
@@ -271,7 +286,7 @@ def _pairs_of_blocks(sequences: DataFrame, bitmap: np.ndarray) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 _, p, q = neighbours(unpacked(batch.column("sequence")[row].as_py()))
-                p, q, _, _ = distinct_pairs(p, q)
+                p, q, _ = counted_pairs(p, q)
                 bit = _bit(p, q)
                 i = np.flatnonzero(held.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
                 block = np.full(len(i), batch.column("block")[row].as_py(), np.int64)
