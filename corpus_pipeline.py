@@ -15,12 +15,13 @@ from gradin.llm.queries import table, tokenizer_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter, empty ones and nulls: they have no language.
+    """Rejects texts without a letter, empty ones and nulls, which have no language, and those of which
+    no language is found with half of the score it can get: mixed and garbled ones.
 
-    Where no language can be learned, nothing else is rejected either.
+    Where no language can be learned, only the first are rejected.
     """
-    found = langid.identify(_texts(docs), langid.fit(langid.learnable(docs)))
-    return found.where("score IS NULL OR score > 0").select("row.*")
+    model = langid.fit(langid.learnable(docs))
+    return langid.identify(_texts(docs), model).where(langid.settled(model)).select("row.*")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -198,6 +198,21 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, fields)
 
 
+def settled(model: Model | None):
+    """Whether a text that `identify` judged is in one language: its score is half or more of the greatest
+    that its language can get, which is 1 for a language alone in its family and 2/m for one of m.
+
+    Texts without a letter are not; without a model all others are, as no language was looked for.
+    """
+    found = F.col("score").isNull() | (F.col("score") > 0)
+    if model is None:
+        return found
+    for members in model.families:
+        codes = [model.languages[i] for i in members]
+        found &= ~F.col("lang_pred").isin(codes) | (F.col("score") >= min(0.5, 1 / len(members)))
+    return found
+
+
 def learnable(docs: DataFrame) -> DataFrame:
     """The rows that labels may be learned from: crc32 of the doc_id's text mod 4 is not 2."""
     return docs.where(~held_out(4, 2))
