@@ -13,6 +13,9 @@ from gradin.llm import langid, mixing, neardup, packing, toxicity
 from gradin.llm.graph import written
 from gradin.llm.queries import table, tokenizer_path
 
+#: Documents that an executor sends to a Python worker at a time.
+BATCH_ROWS = 1000
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter, empty ones and nulls, which have no language, and those of which
@@ -20,14 +23,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where no language can be learned, only the first are rejected.
     """
+    _small_batches(spark)
     model = langid.fit(langid.learnable(docs))
-    return langid.identify(_texts(docs), model).where(langid.settled(model)).select("row.*")
+    return _whole(langid.identify(_text_beside(docs), model).where(langid.settled(model)), docs.columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose toxicity score is 0.5 or more."""
+    _small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(_texts(docs), model).where("predicted = 0").select("row.*")
+    return _whole(toxicity.scored(_text_beside(docs), model).where("predicted = 0"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Repeated rows of it leave one, that with the smallest hash of the row. Documents without words are in no group: they stay, once for
     each id.
     """
+    _small_batches(spark)
     kept = neardup.representatives(docs).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"))
     rows = _texts(docs, F.xxhash64("text").alias("t"), mixing.row_hash(docs).alias("h"))
     rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t")), "left_semi")
@@ -49,6 +55,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 
@@ -65,6 +72,24 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches, which the JVM and the Python worker each hold more than once for
+    every running task; by default they have 10,000 documents."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def _text_beside(docs: DataFrame) -> DataFrame:
+    """text, and all other columns in one that no operator's own can replace: each value goes to Python once."""
+    return docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+
+
+def _whole(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of `_text_beside` with their columns in order."""
+    return rows.select(*[F.col("text" if c == "text" else f"row.`{c}`") for c in columns])
+
+
 def _texts(docs: DataFrame, *more: Column) -> DataFrame:
     """doc_id and text beside the whole row, whose other columns may have any name."""
     return docs.select("doc_id", "text", *more, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
