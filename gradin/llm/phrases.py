@@ -3,15 +3,14 @@
 Words get numbers by falling frequency, and texts become sequences of these numbers. Two
 neighbours address a cell of a square that is cut into tiles: the tiles of frequent words are counted
 densely (`numpy.bincount` on the address within the tile), all others as sorted coordinates with
-counts. The frequent pairs are ranked and numbered in their turn, the sequences are rewritten in
-these numbers, and neighbours among them, which share all words but the outer ones, are the phrases
-longer by one. So every length is counted by the same step, and only phrases whose parts are
-frequent are ever counted.
+counts. Longer runs of numbers are counted as sorted coordinates, and only those of which a bitmap of
+fixed size allows both parts that are shorter by one. The bitmap holds a hash of each frequent phrase
+of that length, so it misses none; what it lets through by chance is too rare in the end. Frequent
+phrases find their parts by the numbers of their words, one row each; no row of a text is joined with them.
 
 Texts are read once, into blocks: a dictionary of the block's words and the sequence of their places in
 it. Dictionaries are joined with the numbered words, not broadcast, as a vocabulary grows with the
-corpus. Of a block's pairs only those that a bitmap of fixed size allows are joined with the
-numbered ones; the bitmap holds a hash of each frequent pair, so it misses none.
+corpus.
 """
 
 from __future__ import annotations
@@ -39,7 +38,7 @@ DENSE = 3
 SORTED = 1_000_000
 #: Occurrences that a task's dense tiles hold in 32 bits before they are given out.
 MOST_SEEN = 1 << 30
-#: Bits of the bitmap of frequent pairs, 8 MB whatever the corpus, in pieces of 32,768.
+#: Bits of the bitmap of frequent phrases, 8 MB whatever the corpus, in pieces of 32,768.
 FILTER_BITS = 26
 PIECE_BITS = 15
 ROWS = 1 << 18
@@ -117,47 +116,60 @@ def _blocks(docs: DataFrame, group: str, text: str) -> DataFrame:
     return written(out.withColumn("block", F.monotonically_increasing_id()), "blocks", compression="zstd")
 
 
-def neighbours(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which places of the sequence have a number and one behind them, and both numbers there."""
-    both = (sequence[:-1] >= 0) & (sequence[1:] >= 0)
-    return both, sequence[:-1][both], sequence[1:][both]
-
-
-def distinct_pairs(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs as sorted coordinates, their counts, and the place of each given pair among them."""
-    if not len(p) or max(p.max(), q.max()) < 2**31:
-        keys, inverse, counts = np.unique(p << 32 | q, return_inverse=True, return_counts=True)
-        return keys >> 32, keys & 0xFFFFFFFF, counts, inverse
-    order = np.lexsort((q, p))
-    p, q = p[order], q[order]
-    new = np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])])
-    inverse = np.empty(len(p), np.int64)
-    inverse[order] = np.cumsum(new) - 1
-    return p[new], q[new], np.bincount(inverse), inverse
-
-
-def counted_pairs(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs as sorted coordinates and their counts; sorted in place where a pair fits one number."""
-    if len(p) and max(p.max(), q.max()) >= 2**31:
-        return distinct_pairs(p, q)[:3]
-    keys = p << 32
-    keys |= q
-    keys.sort()
-    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
-    counts = np.diff(np.append(first, len(keys)))
-    keys = keys[first]
-    return keys >> 32, keys & 0xFFFFFFFF, counts
+def runs(sequence: np.ndarray, length: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """At which places of the sequence that many numbers stand together, and a column for each of them."""
+    n = max(0, len(sequence) - length + 1)
+    columns = [sequence[k : k + n] for k in range(length)]
+    whole = np.ones(n, bool)
+    for column in columns:
+        whole &= column >= 0
+    return whole, [column[whole] for column in columns]
+
+
+def counted_runs(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The distinct runs as sorted coordinates, and their counts; sorted in place where a run fits one number."""
+    bits = [int(column.max(initial=0)).bit_length() for column in columns]
+    if sum(bits) <= 63:
+        keys = np.zeros(len(columns[0]), np.int64)
+        for column, width in zip(columns, bits, strict=True):
+            keys <<= width
+            keys |= column
+        keys.sort()
+        new = keys[1:] != keys[:-1]
+    else:
+        order = np.lexsort(columns[::-1])
+        columns = [column[order] for column in columns]
+        new = np.logical_or.reduce([column[1:] != column[:-1] for column in columns])
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(columns[0])), bool), new]))
+    counts = np.diff(np.append(first, len(columns[0])))
+    if sum(bits) > 63:
+        return [*(column[first] for column in columns), counts]
+    keys, out = keys[first], []
+    for width in reversed(bits):
+        out.append(keys & ((1 << width) - 1))
+        keys = keys >> width
+    return [*reversed(out), counts]
 
 
 class Tiles:
-    """Counts of pairs: dense tiles for the most frequent numbers, sorted coordinates beside them."""
+    """Counts of runs: dense tiles for pairs of the most frequent numbers, sorted coordinates for all others."""
 
     def __init__(self) -> None:
         self.dense: dict[tuple[int, int], np.ndarray] = {}
-        self.rest: list[tuple[np.ndarray, np.ndarray]] = []
+        self.rest: list[list[np.ndarray]] = []
         self.waiting = self.seen = 0
 
-    def add(self, p: np.ndarray, q: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def add(self, *columns: np.ndarray) -> Iterator[list[np.ndarray]]:
+        rest = self._beside_dense(*columns) if len(columns) == 2 else list(columns)
+        self.rest.append(rest)
+        self.waiting += len(rest[0])
+        if self.waiting >= SORTED:
+            yield self.sparse()
+        if self.seen >= MOST_SEEN:
+            yield from self.left()
+
+    def _beside_dense(self, p: np.ndarray, q: np.ndarray) -> list[np.ndarray]:
+        """Counts the pairs of the dense tiles and gives the others."""
         head = (p < DENSE * TILE) & (q < DENSE * TILE)
         a, b = p[head], q[head]
         tile = a // TILE * DENSE + b // TILE
@@ -168,64 +180,81 @@ class Tiles:
             if place not in self.dense:
                 self.dense[place] = np.zeros(TILE * TILE, np.uint32)
             self.dense[place] += counts.astype(np.uint32)
-        self.rest.append((p[~head], q[~head]))
-        self.waiting += len(p) - len(a)
-        if self.waiting >= SORTED:
-            yield self.sparse()
         self.seen += len(a)
-        if self.seen >= MOST_SEEN:
-            yield from self.left()
+        return [p[~head], q[~head]]
 
-    def sparse(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        p, q = (np.concatenate(side) for side in zip(*self.rest, strict=True))
+    def sparse(self) -> list[np.ndarray]:
+        columns = [np.concatenate(column) for column in zip(*self.rest, strict=True)]
         self.rest, self.waiting = [], 0
-        return counted_pairs(p, q)
+        return counted_runs(columns)
 
-    def left(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def left(self) -> Iterator[list[np.ndarray]]:
         if self.rest:
             yield self.sparse()
         for (row, column), counts in self.dense.items():
             at = np.flatnonzero(counts)
-            yield row * TILE + at // TILE, column * TILE + at % TILE, counts[at]
+            yield [row * TILE + at // TILE, column * TILE + at % TILE, counts[at]]
         self.dense, self.seen = {}, 0
 
 
-def _counted(sequences: DataFrame, least: int) -> DataFrame:
-    """(p, q, f): the neighbours that occur `least` times or more."""
+def _keys(length: int) -> list[str]:
+    """The columns with the numbers of a phrase's words."""
+    return [f"w{k}" for k in range(length)]
+
+
+def _counted(sequences: DataFrame, length: int, least: int, bitmap: np.ndarray | None = None) -> DataFrame:
+    """(w0, w1, ..., f): the runs of that many numbers that occur `least` times or more.
+
+    `bitmap` holds all frequent runs shorter by one.
+    """
+    held = None if bitmap is None else sequences.sparkSession.sparkContext.broadcast(bitmap)
+    names = [*_keys(length), "f"]
+
+    def allowed(sequence: np.ndarray) -> list[np.ndarray]:
+        if held is None:
+            return runs(sequence, length)[1]
+        whole, parts = runs(sequence, length - 1)
+        frequent = np.zeros(len(whole), bool)
+        bit = _bit(*parts)
+        frequent[whole] = held.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1
+        at = np.flatnonzero(frequent[:-1] & frequent[1:])
+        return [sequence[at + k] for k in range(length)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = Tiles()
 
-        def found() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        def found() -> Iterator[list[np.ndarray]]:
             for batch in batches:
                 for data in batch.column("sequence"):
-                    _, p, q = neighbours(unpacked(data.as_py()))
-                    yield from tiles.add(p, q)
+                    yield from tiles.add(*allowed(unpacked(data.as_py())))
             yield from tiles.left()
 
         for columns in found():
             for begin in range(0, len(columns[0]), ROWS):
                 part = [pa.array(c[begin : begin + ROWS], pa.int64()) for c in columns]
-                yield pa.RecordBatch.from_arrays(part, ["p", "q", "f"])
+                yield pa.RecordBatch.from_arrays(part, names)
 
-    pairs = sequences.select("sequence").mapInArrow(run, "p bigint, q bigint, f bigint")
-    return pairs.groupBy("p", "q").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    rows = sequences.select("sequence").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+    return rows.groupBy(*_keys(length)).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
-def _bit(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+def _bit(first: np.ndarray, *rest: np.ndarray) -> np.ndarray:
+    h = first.astype(np.uint64)
     with np.errstate(over="ignore"):
-        return mixed(p.astype(np.uint64) * BASE + q.astype(np.uint64)) >> np.uint64(64 - FILTER_BITS)
+        for column in rest:
+            h = mixed(h * BASE + column.astype(np.uint64))
+    return h >> np.uint64(64 - FILTER_BITS)
 
 
-def _bitmap(pairs: DataFrame) -> np.ndarray:
-    """The bitmap of the pairs' hashes: 2,048 pieces of 4 KB at most, however many pairs."""
+def _bitmap(phrases: DataFrame) -> np.ndarray:
+    """The bitmap of the hashes of phrases, given as a column for each number: 2,048 pieces of 4 KB at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = _bit(batch.column("p").to_numpy(), batch.column("q").to_numpy()).astype(np.int64)
+            bits = _bit(*(column.to_numpy() for column in batch.columns)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(bits)], ["bit"])
 
-    bits = pairs.select("p", "q").mapInArrow(run, "bit bigint")
+    bits = phrases.mapInArrow(run, "bit bigint")
     piece = F.shiftright("bit", PIECE_BITS)
     out = np.zeros(1 << FILTER_BITS >> 3, np.uint8).reshape(-1, 1 << PIECE_BITS >> 3)
     held = bits.groupBy(piece.alias("piece")).agg(
@@ -248,71 +277,46 @@ def _known(column: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray]:
     return value.field("i").to_numpy(), value.field("id").to_numpy()
 
 
-def _rewritten(blocks: DataFrame, places: DataFrame, first: bool) -> DataFrame:
-    """(block, sequence): the blocks in the numbers of the next level; -1 where there is none."""
+def _rewritten(blocks: DataFrame, places: DataFrame) -> DataFrame:
+    """(sequence): the blocks in the numbers of the words; -1 where there is none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 old = unpacked(batch.column("sequence")[row].as_py())
                 i, number = _known(batch.column("known"), row)
-                if first:
-                    at, kinds = old, int(old.max(initial=0)) + 1
-                else:
-                    both, p, q = neighbours(old)
-                    kinds_p, _, _, inverse = distinct_pairs(p, q)
-                    kinds = len(kinds_p) + 1
-                    at = np.zeros(len(both), np.int64)
-                    at[both] = inverse + 1
-                numbers = np.full(kinds, -1, np.int64)
+                numbers = np.full(int(old.max(initial=0)) + 1, -1, np.int64)
                 numbers[i + 1] = number
-                new = numbers[at]
+                new = numbers[old]
                 held = new >= 0
                 held[1:] |= new[:-1] >= 0  # of several gaps in a row one is enough
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("block").slice(row, 1), pa.array([packed(new[held])], pa.binary())],
-                    ["block", "sequence"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array([packed(new[held])], pa.binary())], ["sequence"])
 
     rows = blocks.select("block", "sequence").join(places, "block")
-    return written(rows.mapInArrow(run, "block bigint, sequence binary"), "sequences")
-
-
-def _pairs_of_blocks(sequences: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """(block, i, p, q): a block's distinct neighbours that the bitmap allows."""
-    held = sequences.sparkSession.sparkContext.broadcast(bitmap)
+    return written(rows.mapInArrow(run, "sequence binary"), "sequences")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                _, p, q = neighbours(unpacked(batch.column("sequence")[row].as_py()))
-                p, q, _ = counted_pairs(p, q)
-                bit = _bit(p, q)
-                i = np.flatnonzero(held.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
-                block = np.full(len(i), batch.column("block")[row].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (block, i, p[i], q[i])], ["block", "i", "p", "q"])
 
-    return sequences.mapInArrow(run, "block bigint, i bigint, p bigint, q bigint")
+def _ranked(words: DataFrame) -> DataFrame:
+    """The words with their number: rank by falling frequency."""
+    words = written(words.withColumn("less", -F.col("f")), "symbols", compression="zstd")
+    return written(numbered(words, [], ["less", "lang", "word"], "id").drop("less"), "ranked", compression="zstd")
 
 
-def _ranked(symbols: DataFrame, order: list[str]) -> DataFrame:
-    """The symbols of a level with their number: rank by falling frequency."""
-    symbols = written(symbols.withColumn("less", -F.col("f")), "symbols", compression="zstd")
-    return written(numbered(symbols, [], ["less", *order], "id").drop("less"), "ranked", compression="zstd")
+def _phrases(found: DataFrame, parts: DataFrame, length: int) -> DataFrame:
+    """The phrases of a length with lang, words, and the frequencies of all first and all last parts.
 
-
-def _phrases(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs of a level with lang, words, and the frequencies of all first and all last parts."""
-    left = parts.select(
-        F.col("id").alias("p"), "lang", "words", F.concat("firsts", F.array("f")).alias("firsts")
-    )
+    `parts` are those shorter by one.
+    """
+    keys = _keys(length)
+    left = parts.select(*keys[:-1], "lang", "words", F.concat("firsts", F.array("f")).alias("firsts"))
     right = parts.select(
-        F.col("id").alias("q"),
+        *[F.col(part).alias(key) for part, key in zip(keys, keys[1:], strict=False)],
         F.array(F.element_at("words", -1)).alias("word"),
         F.concat("lasts", F.array("f")).alias("lasts"),
     )
     words = F.concat("words", "word").alias("words")
-    return pairs.join(left, "p").join(right, "q").select("id", "p", "q", "f", "lang", words, "firsts", "lasts")
+    rows = found.join(left, keys[:-1]).join(right, keys[1:])
+    return rows.select(*keys, "f", "lang", words, "firsts", "lasts")
 
 
 def collocations(
@@ -337,29 +341,28 @@ def collocations(
     symbols = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     words = symbols.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
     totals = blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)).alias("n"))
-    words = _ranked(words.where(F.col("f") >= least), ["lang", "word"])
+    words = _ranked(words.where(F.col("f") >= least))
     dictionary = blocks.select("block", "lang", F.posexplode("words").alias("i", "word"))
     dictionary = dictionary.select("block", "lang", F.col("i").cast("bigint").alias("i"), "word")
     places = _places(dictionary.join(words, ["lang", "word"]).select("block", "i", "id"))
-    sequences = _rewritten(blocks, places, first=True)
+    sequences = _rewritten(blocks, places)
 
     none = F.array().cast("array<bigint>")
     level = words.select(
-        "id", "f", "lang", F.array("word").alias("words"), none.alias("firsts"), none.alias("lasts")
+        F.col("id").alias("w0"), "f", "lang", F.array("word").alias("words"), none.alias("firsts"), none.alias("lasts")
     )
-    levels = []
+    levels, bitmap = [], None
     for length in range(2, longest + 1):
-        pairs = _ranked(_counted(sequences, least), ["p", "q"])
-        level = written(_phrases(pairs, level), "phrases", compression="zstd")
+        found = _counted(sequences, length, least, bitmap)
+        level = written(_phrases(found, level, length), "phrases", compression="zstd")
         levels.append(level)
         if length < longest:
-            found = _pairs_of_blocks(sequences, _bitmap(pairs))
-            places = _places(found.join(pairs.select("p", "q", "id"), ["p", "q"]).select("block", "i", "id"))
-            sequences = _rewritten(sequences, places, first=False)
+            bitmap = _bitmap(level.select(*_keys(length)))
     return _best(levels, totals, most, share)
 
 
 def _scored(level: DataFrame, length: int) -> DataFrame:
+    keys = [c for c in _keys(length) if c in level.columns]
     cuts = []
     for k in range(1, length):
         first, last = f"firsts[{k - 1}]", f"lasts[{length - k - 1}]"
@@ -368,19 +371,21 @@ def _scored(level: DataFrame, length: int) -> DataFrame:
         cuts.append(f"struct(({top}) DIV ({bottom}) AS score, {k} AS k, {first} AS l, {last} AS r)")
     cut = F.expr(f"array_min(array({', '.join(cuts)}))")
     level = level.withColumn("f_", F.col("f").cast("decimal(16,0)")).withColumn("cut", cut)
-    return level.select("id", "lang", F.array_join("words", " ").alias("phrase"), F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
+    return level.select(*keys, "lang", F.array_join("words", " ").alias("phrase"), F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
 
 
 def _best(levels: list[DataFrame], totals: DataFrame, most: int, share: int) -> DataFrame:
     kept = None
     for at, level in enumerate(levels):
         rows = _scored(level, at + 2)
+        keys = _keys(at + 2)
         if at + 1 < len(levels):
-            longer = levels[at + 1]
-            over = longer.select(F.col("p").alias("id"), "f").unionByName(longer.select(F.col("q").alias("id"), "f"))
-            rows = rows.join(over.groupBy("id").agg(F.max("f").alias("f")), "id", "left")
-            rows = rows.where(F.col("f").isNull() | (100 * F.col("f") < share * F.col("a"))).drop("f")
-        rows = rows.drop("id")
+            longer, more = levels[at + 1], _keys(at + 3)
+            over = longer.select(*keys, F.col("f").alias("most"))
+            over = over.union(longer.select(*more[1:], "f"))
+            rows = rows.join(over.groupBy(*keys).agg(F.max("most").alias("most")), keys, "left")
+            rows = rows.where(F.col("most").isNull() | (100 * F.col("most") < share * F.col("a"))).drop("most")
+        rows = rows.drop(*keys)
         kept = rows if kept is None else kept.unionByName(rows)
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     best = first_rows(written(kept, "kept"), ["lang"], order, most)

@@ -113,6 +113,42 @@ def test_tiles_count_all_pairs(shift, monkeypatch):
     assert found == Counter(zip(p.tolist(), q.tolist()))
 
 
+@pytest.mark.parametrize(("length", "shift"), [(3, 0), (3, 2**33), (4, 0), (5, 2**20)])
+def test_longer_runs_are_counted_where_both_parts_are_frequent(spark, length, shift, monkeypatch):
+    monkeypatch.setattr(phrases, "SORTED", 300)
+    draw = np.random.default_rng(4)
+    texts = [np.where(draw.random(400) < 0.1, -1, draw.integers(0, 5, 400) + shift) for _ in range(6)]
+    counts = {
+        n: Counter(r for t in texts for r in zip(*(t[k:].tolist() for k in range(n)), strict=False) if min(r) >= 0)
+        for n in (length - 1, length)
+    }
+    parts = [r for r, n in counts[length - 1].items() if n >= 4]
+    columns = ", ".join(f"w{k} bigint" for k in range(length - 1))
+    bitmap = phrases._bitmap(spark.createDataFrame(parts, columns))
+    rows = spark.createDataFrame([(bytearray(phrases.packed(t)),) for t in texts], "sequence binary")
+    found = {tuple(r)[:-1]: r.f for r in phrases._counted(rows, length, 4, bitmap).collect()}
+    assert found == {r: n for r, n in counts[length].items() if n >= 4}
+    assert len(found) > 3
+
+
+def test_phrases_are_joined_by_a_row_each_and_not_by_their_places(spark, monkeypatch):
+    """Before, each pair of each block was joined with the numbered pairs."""
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 200)
+    rows = [(i, " ".join(f"w{j % 7}" for j in range(i, i + 60)), "de") for i in range(80)]
+    docs = frame(spark, rows)
+    made, kind = [], type(docs)
+
+    def join(self, other, on=None, how=None, f=kind.join):
+        out = f(self, other, on, how)
+        if "lang" not in str(on) and "block" not in str(on):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(kind, "join", join)
+    assert phrases.collocations(docs).count() > 0
+    assert made and max(made) <= 14, made  # 7 pairs and 7 triples, in 80 blocks
+
+
 def test_the_bitmap_misses_no_pair(spark):
     pairs = spark.range(5000).selectExpr("id * 3 AS p", "id * id AS q")
     bitmap = phrases._bitmap(pairs)
