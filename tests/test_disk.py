@@ -92,7 +92,7 @@ def small(spark, tmp_path_factory):
     return root
 
 
-@pytest.mark.parametrize("name", ["layered_run", "layered_resume"])
+@pytest.mark.parametrize("name", ["layered_run", "layered_resume", "layered_run_all_played"])
 def test_layered_queries_leave_no_landing_files(spark, small, name):
     before = set(store.names(spark, shared_root(spark)))
     assert QUERIES[name](spark, small).count() > 0
